@@ -51,9 +51,16 @@ def ingest(spark: SparkSession, series_path: str, landing_dir: str, start: dt.da
 
 
 def load_frame(df: DataFrame, layers: Layers, load_id: str) -> JobResult:
-    """Append a frame with the staging columns as one load."""
+    """Append a frame with the staging columns as one load. Rows without a key go to quarantine,
+    since no series can hold them."""
     stamped = df.withColumn("load_timestamp", F.lit(dt.datetime.now(dt.timezone.utc)))
-    append_load(stamped, layers, schemas.RAW_STAGING, load_id)
+    keyed = F.col("date").isNotNull() & F.col("index_name").isNotNull()
+    append_load(stamped.filter(keyed), layers, schemas.RAW_STAGING, load_id)
+    rejected = stamped.filter(~keyed).select(
+        *[F.col(c).cast("string").alias(c) for c in schemas.RAW_VALUE_COLUMNS],
+        F.lit(None).cast("string").alias("line"), F.lit("missing key").alias("reason"),
+        "load_timestamp")
+    append_load(rejected, layers, schemas.RAW_QUARANTINE, load_id)
     return JobResult("loaded")
 
 

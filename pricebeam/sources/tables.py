@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pricebeam import schemas
 from pricebeam.functions.dates import month_start
-from pricebeam.operators.upsert import require_unique, upsert
+from pricebeam.operators.upsert import DuplicateKeyError, upsert
 from pricebeam.schemas import TableSpec
 from pricebeam.session import discard, path_exists, shared_dir
 
 LAYERS = ("raw", "harmonized", "analytics")
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 @dataclass(frozen=True)
@@ -74,14 +75,20 @@ def _for_table(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _replace(df: DataFrame, table: str, scope: str) -> None:
     """Insert over the whole table (`static`) or over the partitions that occur in `df` (`dynamic`).
-    insertInto takes the scope from the session only."""
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    previous = conf.get(key)
-    conf.set(key, scope)
+
+    insertInto takes the scope from the session only. A session that already has it is left alone,
+    so writers that share such a session may run side by side.
+    """
+    conf = df.sparkSession.conf
+    previous = conf.get(OVERWRITE_MODE)
+    if previous.lower() == scope:
+        df.write.mode("overwrite").insertInto(table)
+        return
+    conf.set(OVERWRITE_MODE, scope)
     try:
         df.write.mode("overwrite").insertInto(table)
     finally:
-        conf.set(key, previous)
+        conf.set(OVERWRITE_MODE, previous)
 
 
 def overwrite_table(df: DataFrame, layers: Layers, spec: TableSpec) -> None:
@@ -97,13 +104,13 @@ def append_load(df: DataFrame, layers: Layers, spec: TableSpec, load_id: str) ->
 
 
 def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
-                 token: str | None = None) -> int:
+                 token: str | None = None) -> None:
     """Upsert into the month partitions that the source touches; the others are not read or written.
 
     Source and merged rows are first written to the shared folder under `token`, which names this
     one change. When a run dies while partitions are being replaced, a rerun with the same token
     finds the merged rows complete and only replaces again, so no row of a half-replaced month is
-    lost. Returns the number of months replaced; the list of months is all that reaches the driver.
+    lost. Only the list of months reaches the driver.
     """
     spark = source.sparkSession
     stage = f"{shared_dir(spark)}/pricebeam/upserts/{layers.name(spec)}/{token or uuid.uuid4().hex}"
@@ -113,17 +120,25 @@ def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
         keyed = source.select(*spec.column_names, month_of(spec).alias(spec.partition))
         keyed.write.mode("overwrite").parquet(f"{stage}/source")
         staged = spark.read.schema(keyed.schema).parquet(f"{stage}/source")
-        require_unique(staged, spec.key)
-        months = [r[0] for r in staged.select(spec.partition).distinct().collect()]
+        months = _touched_months(staged, spec)
         if not months:
             discard(spark, stage)
-            return 0
+            return
         merged = upsert(in_months(target, months), staged, spec.key)
         merged.write.mode("overwrite").parquet(merged_path)
     merged = spark.read.schema(target.schema).parquet(merged_path)
     rows = merged.select(*target.columns).hint("rebalance", F.col(spec.partition))
     _replace(rows, layers.name(spec), "dynamic")
-    replaced = merged.select(spec.partition).distinct().count()
     discard(spark, stage)
-    return replaced
+
+
+def _touched_months(staged: DataFrame, spec: TableSpec) -> list:
+    """The months of the staged rows; raises when one of them holds a complete key twice."""
+    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in spec.key])
+    keys = staged.groupBy(spec.partition, *spec.key).agg(F.count(F.when(complete, 1)).alias("n"))
+    months = keys.groupBy(spec.partition).agg(F.max("n").alias("n")).collect()
+    repeated = [m[spec.partition] for m in months if m["n"] > 1]
+    if repeated:
+        raise DuplicateKeyError(f"{spec.name}: duplicate upsert keys in {repeated[0]}")
+    return [m[spec.partition] for m in months]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,6 +28,7 @@ from pricebeam.plans.jobs import JobResult
 from pricebeam.session import discard, shared_dir
 from pricebeam.sources.files import bad_rows, classify, good_rows, stream_csv_text
 from pricebeam.sources.tables import (
+    OVERWRITE_MODE,
     Layers,
     append_load,
     in_months,
@@ -36,8 +38,8 @@ from pricebeam.sources.tables import (
 
 NO_NEW_DATA = "no new data"
 
-# How many months before the first changed row are read, widened until the frames are whole.
-READ_BACK_MONTHS = (3, 24, None)
+# How many months before the first changed one are read; the whole history where that is too few.
+READ_BACK_MONTHS = (3, 24)
 
 
 def drain(stream: DataFrame, checkpoint: str, process: Callable[[DataFrame, int], None],
@@ -114,17 +116,23 @@ def apply_batch(batch: DataFrame, layers: Layers, token: str, as_of: Column,
     read that copy. Every write replaces by key, so a repeated batch changes nothing.
     """
     spark = batch.sparkSession
+    # The streaming query has this session to itself.
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
     staged = f"{shared_dir(spark)}/pricebeam/batches/{token}"
     harmonize(batch, ("load_timestamp", "load_id")).write.mode("overwrite").parquet(staged)
     changed = spark.read.schema(schemas.HARMONIZED.columns).parquet(staged)
     upsert_table(changed, layers, schemas.HARMONIZED, token)
-    upsert_table(daily_metrics(changed), layers, schemas.DAILY_METRICS, token)
+    refreshed = {schemas.DAILY_METRICS: daily_metrics(changed)}
     if strict_reference:
-        refreshed = _fixed_lookback_refresh(spark, layers, as_of)
+        refreshed |= _fixed_lookback_refresh(spark, layers, as_of)
     else:
-        refreshed = _affected_refresh(spark, layers, changed)
-    for spec, frame in refreshed.items():
-        upsert_table(frame, layers, spec, token)
+        refreshed |= _affected_refresh(spark, layers, changed)
+    # The tables do not read each other, so their jobs share the cluster.
+    with ThreadPoolExecutor(len(refreshed)) as pool:
+        writes = [pool.submit(upsert_table, frame, layers, spec, token)
+                  for spec, frame in refreshed.items()]
+        for write in writes:
+            write.result()
     discard(spark, staged)
 
 
@@ -147,7 +155,7 @@ def _affected_refresh(spark: SparkSession, layers: Layers,
     stored = spark.table(layers.name(schemas.HARMONIZED))
     days = changed.select(F.col("timestamp").cast("date").alias("date"), "index_name")
     # Calendar lists, not row lists: a batch touches few months however many rows it has.
-    months = [r[0] for r in days.select(F.trunc("date", "month")).distinct().collect()]
+    months = sorted(r[0] for r in days.select(F.trunc("date", "month")).distinct().collect())
     weeks = days.select(week_start("date").alias("week"), "index_name").distinct()
     by_month = in_months(stored, months)
     touched_months = days.select(F.trunc("date", "month").alias("part_month"),
@@ -160,32 +168,30 @@ def _affected_refresh(spark: SparkSession, layers: Layers,
             by_month.join(touched_months, ["part_month", "index_name"], "left_semi"), "timestamp"),
         schemas.WEEKLY_METRICS: weekly_averages(in_weeks, "timestamp", "value"),
         schemas.WEEKLY_PERFORMANCE: weekly_performance(performance_input(in_weeks)),
-        schemas.DAILY_PERFORMANCE: affected_daily_performance(stored, days),
+        schemas.DAILY_PERFORMANCE: affected_daily_performance(stored, days, min(months)),
     }
 
 
 def _with_neighbours(months: list[dt.date]) -> list[dt.date]:
     """The months and those next to them, since a week can lie across a month's edge."""
-    wide = set()
+    wide = set(months)
     for month in months:
-        if month is None:
-            wide.add(None)
-            continue
-        wide.update({month, (month - dt.timedelta(days=1)).replace(day=1),
-                     (month + dt.timedelta(days=31)).replace(day=1)})
-    return sorted(wide, key=lambda m: (m is None, m))
+        wide.add((month - dt.timedelta(days=1)).replace(day=1))
+        wide.add((month + dt.timedelta(days=31)).replace(day=1))
+    return sorted(wide)
 
 
-def affected_daily_performance(stored: DataFrame, changed: DataFrame,
+def affected_daily_performance(stored: DataFrame, changed: DataFrame, first_month: dt.date,
                                rows: int = FRAME_ROWS) -> DataFrame:
     """Daily performance of every row whose trailing frame holds a changed row.
 
     `stored` is the harmonized table with its month partition, `changed` the changed (date, index)
-    keys. Only changed series are read, from a month early enough that each has a full frame of
-    rows before its first change; the window then marks and computes in one pass.
+    keys, the first of them in `first_month`. Only changed series are read, from a month early
+    enough that each has a full frame of rows before its first change; the window then marks and
+    computes in one pass.
     """
     first_change = changed.groupBy("index_name").agg(F.min("date").alias("first_change"))
-    history = _whole_frames(stored, first_change, rows)
+    history = _whole_frames(stored, first_change, first_month, rows)
     keyed = changed.select("date", "index_name", F.lit(1).alias("changed"))
     priced = performance_input(history).join(keyed, ["date", "index_name"], "left")
     window = Window.partitionBy("index_name").orderBy("date")
@@ -195,17 +201,16 @@ def affected_daily_performance(stored: DataFrame, changed: DataFrame,
         "date", "index_name", "value", "daily_return", "volatility")
 
 
-def _whole_frames(stored: DataFrame, first_change: DataFrame, rows: int) -> DataFrame:
+def _whole_frames(stored: DataFrame, first_change: DataFrame, first_month: dt.date,
+                  rows: int) -> DataFrame:
     """History of the changed series, read back as few months as whole frames need."""
     of_changed = stored.join(first_change, "index_name")
-    start = first_change.agg(F.min("first_change")).first()[0]
     before = F.col("timestamp").cast("date") < F.col("first_change")
     for months in READ_BACK_MONTHS:
-        if months is None or start is None:
-            return of_changed
-        since = F.add_months(F.trunc(F.lit(start), "month"), -months)
+        since = F.add_months(F.lit(first_month), -months)
         recent = of_changed.filter(F.col("part_month") >= since)
-        # A series is short of rows when the part read holds fewer than a frame before its change.
+        # A series is short when the part read holds less than a frame before its first change;
+        # that only matters when it has older rows.
         counted = recent.groupBy("index_name").agg(F.count(F.when(before, 1)).alias("n"))
         short = counted.filter(F.col("n") < rows - 1)
         older = stored.filter(F.col("part_month") < since).select("index_name")
