@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 TRADING_DAYS = 252
 DECIMALS = 4
 NAN = float("nan")
+BROKEN_UNIT = 1 << 32
 
 
 def _annualized(deviation: Column) -> Column:
@@ -51,29 +52,38 @@ def with_frame_volatility(df: DataFrame, window: WindowSpec, price: str, rows: i
     back than the frame, which is what lets `over_series` cut a long series into slices.
     """
     frame = window.rowsBetween(-(rows - 1), Window.currentRow)
-    entry = F.struct(F.coalesce(F.col("_ret"), F.lit(0.0)).alias("r"), F.col("_broken").alias("b"))
+    has_price = F.col(price).isNotNull()
+    entering = F.when(F.col("_broken") == 1, F.lit(NAN)).otherwise(F.coalesce("_ret", F.lit(0.0)))
+    # A sliding sum visits every row of the frame, so the frame is summed in few plain numbers: one
+    # long counts prices in its low part and broken ratios in its high part.
     sums = (
         with_prior_return(df, window, price, "_ret", "_broken")
         .withColumns({
-            "_n": F.count(F.col(price)).over(frame),
+            "_entering": F.when(has_price, entering),
+            "_square": F.col("_ret") * F.col("_ret"),
+            "_counts": F.when(has_price, F.lit(1) + F.col("_broken") * F.lit(BROKEN_UNIT)),
+        })
+        .withColumns({
             "_s1": F.sum("_ret").over(frame),
-            "_s2": F.sum(F.col("_ret") * F.col("_ret")).over(frame),
-            "_nb": F.sum("_broken").over(frame),
-            "_first": F.first(F.when(F.col(price).isNotNull(), entry), ignorenulls=True).over(frame),
+            "_s2": F.sum("_square").over(frame),
+            "_counts": F.sum("_counts").over(frame),
+            "_first": F.first("_entering", ignorenulls=True).over(frame),
         })
     )
-    first = F.col("_first.r")
-    pairs = F.col("_n") - F.lit(1)
-    mean = (F.coalesce(F.col("_s1"), F.lit(0.0)) - first) / pairs
-    mean_square = (F.coalesce(F.col("_s2"), F.lit(0.0)) - first * first) / pairs
+    first = F.nanvl("_first", F.lit(0.0))
+    prices = F.coalesce(F.col("_counts") % BROKEN_UNIT, F.lit(0))
+    broken = F.col("_counts") >= F.when(F.isnan("_first"), 2 * BROKEN_UNIT).otherwise(BROKEN_UNIT)
+    pairs = F.nullif(prices - F.lit(1), F.lit(0))
+    mean = (F.coalesce("_s1", F.lit(0.0)) - first) / pairs
+    mean_square = (F.coalesce("_s2", F.lit(0.0)) - first * first) / pairs
     variance = F.greatest(mean_square - mean * mean, F.lit(0.0))
     volatility = (
-        F.when(F.col("_n") < 2, F.lit(0.0))
-        .when(F.col("_nb") > F.col("_first.b"), F.lit(NAN))
+        F.when(prices < 2, F.lit(0.0))
+        .when(broken, F.lit(NAN))
         .otherwise(_annualized(F.sqrt(variance)))
     )
     return sums.withColumn(out, volatility).drop(
-        "_ret", "_broken", "_n", "_s1", "_s2", "_nb", "_first")
+        "_ret", "_broken", "_entering", "_square", "_s1", "_s2", "_counts", "_first")
 
 
 def group_volatility(price: str, log_return: str, broken: str) -> Column:

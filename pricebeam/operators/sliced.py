@@ -10,8 +10,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from pricebeam.session import materialize
 
-# Rows of one series that one task may sort and scan.
-MAX_ROWS_PER_TASK = 2_000_000
+# A series with more rows than this is cut, into slices of about a quarter of it: small enough that
+# slices of one series spread evenly over tasks, large enough that halos stay negligible.
+MAX_ROWS_PER_TASK = 1_000_000
+SLICES_PER_LIMIT = 4
+# Sampled rows expected of a series at the limit, when its size is estimated.
+SAMPLED_AT_LIMIT = 1_000
 # Hot-series keys that may be broadcast; beyond it the join is left to Spark.
 MAX_BROADCAST_KEYS = 100_000
 
@@ -22,29 +26,43 @@ def over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], look
     """Apply `compute(df, window)`, whose columns look back at most `lookback` rows, per series.
 
     A series with one row per day is bounded by the calendar and needs none of this. Where a series
-    may hold any number of rows, its size is counted first (one pass over the series column, with
-    partial aggregation). Series within `max_rows` take the plain window. Longer ones are
-    range-partitioned by (series, order), so one series spreads over many tasks; each slice then
-    gets the last `lookback` rows before it as a halo, which is dropped after the window. No row is
-    lost or cut, and the result equals the plain window's. `order` must be a total order.
+    may hold any number of rows, its size is estimated first, from one pass over the series column.
+    Series within `max_rows` take the plain window. Longer ones are range-partitioned by
+    (series, order), so one series spreads over many tasks; each slice then gets the last
+    `lookback` rows before it as a halo, which is dropped after the window. No row is lost or cut,
+    and the result equals the plain window's. `order` must be a total order.
     """
     series, order = list(series), list(order)
-    sizes = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.filter(F.col("_rows") > max_rows)
+    hot = _long_series(df, series, max_rows)
     hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if not hot_keys:
         return compute(df, Window.partitionBy(*series).orderBy(*order))
 
-    keys = hot.select(*[F.col(c).alias(f"_hot_{c}") for c in series])
+    keys = materialize(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in series]), "hot-series")
     if hot_keys <= MAX_BROADCAST_KEYS:
         keys = F.broadcast(keys)
     same = _all(F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in series)
     cold_result = compute(df.join(keys, same, "left_anti"),
                           Window.partitionBy(*series).orderBy(*order))
-    sliced = _slice(df.join(keys, same, "left_semi"), series, order, ceil(hot_rows / max_rows))
+    sliced = _slice(df.join(keys, same, "left_semi"), series, order, ceil(SLICES_PER_LIMIT * hot_rows / max_rows))
     return cold_result.unionByName(_over_slices(sliced, series, order, lookback, compute))
 
 
+def _long_series(df: DataFrame, series: list[str], max_rows: int) -> DataFrame:
+    """Keys of series over `max_rows` with their size.
+
+    The sample only decides which way a series is computed, never which rows are: both ways give
+    the same result, so a wrong estimate costs time. It keeps the shuffle of this pass at a
+    thousandth of the rows for a limit of a million.
+    """
+    share = min(1.0, SAMPLED_AT_LIMIT / max_rows)
+    sampled = df.select(*series)
+    if share < 1.0:
+        sampled = sampled.sample(share, seed=1)
+    sizes = sampled.groupBy(*series).agg((F.count(F.lit(1)) / share).alias("_rows"))
+    return sizes.filter(F.col("_rows") > max_rows)
+
+
 def _all(conditions) -> Column:
     return reduce(Column.__and__, conditions)
 

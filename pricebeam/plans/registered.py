@@ -26,7 +26,7 @@ from pricebeam.operators.series import date_range, tag_series, union_series
 from pricebeam.operators.sliced import over_series
 from pricebeam.operators.upsert import duplicate_keys, upsert
 from pricebeam.plans import views
-from pricebeam.plans.harmonize import daily_metrics, harmonize, performance_input, with_volatility
+from pricebeam.plans.harmonize import daily_metrics, harmonize, with_volatility
 from pricebeam.sources.adapters import (
     AS_OF,
     PART_TICK_ORDER,
@@ -35,7 +35,6 @@ from pricebeam.sources.adapters import (
     order_ticks,
     part_ticks,
     raw_series,
-    read,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -504,18 +503,19 @@ def series_tagging(spark, sf_dir):
 
 
 def _snapshots(spark, sf_dir):
-    series = daily_series(spark, sf_dir)
-    before = series.filter(_before_snapshot())
-    after = series.filter(F.col("seq") % 7 != 0).withColumn(
-        "index_value", F.when(F.col("seq") % 5 == 0, F.col("index_value") + 1)
-        .otherwise(F.col("index_value")))
-    return before.drop("seq"), after.drop("seq")
+    """The series of one day, and a later state: newer rows, low prices gone, high ones corrected."""
+    series = daily_series(spark, sf_dir).drop("seq")
+    price = F.col("index_value")
+    later = series.filter(price >= 50_000).withColumn(
+        "index_value", F.when(price > 400_000, price + 1).otherwise(price))
+    return series.filter(_before_snapshot()), later
 
 
 SNAPSHOT_SQL = f"""WITH {P},
 b AS (SELECT date, index_name, index_value FROM p WHERE date < DATE '2001-07-15'),
-a AS (SELECT date, index_name, index_value + CASE WHEN seq % 5 = 0 THEN 1 ELSE 0 END AS index_value
-      FROM p WHERE seq % 7 <> 0)"""
+a AS (SELECT date, index_name,
+        index_value + CASE WHEN index_value > 400000 THEN 1 ELSE 0 END AS index_value
+      FROM p WHERE index_value >= 50000)"""
 
 
 @registered("snapshot_changes", f"""{SNAPSHOT_SQL}

@@ -8,11 +8,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricebeam import schemas
-from pricebeam.functions import with_returns
-from pricebeam.operators.rollups import daily_series_window
 from pricebeam.plans.registered import (
     PRIORITY_NAMES,
     P,
@@ -23,7 +21,14 @@ from pricebeam.plans.registered import (
 )
 from pricebeam.plans.jobs import end_to_end, ingest
 from pricebeam.session import scratch_path
-from pricebeam.sources.adapters import AS_OF, daily_series, event_ticks, order_ticks, raw_series, read
+from pricebeam.sources.adapters import (
+    AS_OF,
+    daily_series,
+    daily_series_with_gaps,
+    event_ticks,
+    raw_series,
+    read,
+)
 from pricebeam.sources.export import export_csv
 from pricebeam.sources.files import (
     bad_rows,
@@ -35,7 +40,7 @@ from pricebeam.sources.files import (
     read_json,
 )
 from pricebeam.sources.tables import Layers, create_layers, read_table
-from pricebeam.streaming.refresh import drain, load_raw_data, update_daily_index_metrics
+from pricebeam.streaming.refresh import load_raw_data, update_daily_index_metrics
 from pricebeam.streaming.weekly import weekly_average_stream
 
 CSV_HEADER = ",".join(schemas.LANDED_CSV_COLUMNS)
@@ -52,19 +57,21 @@ def _write_lines(lines: DataFrame, path: str) -> None:
 
 
 def _damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The series as CSV lines, some with a bad number, too few or too many fields, or a null token."""
-    raw = with_returns(daily_series(spark, sf_dir), daily_series_window())
-    kind = F.col("seq") % 10
+    """The series as CSV lines. By price: the lowest have a bad number, the next too few fields, the
+    next too many, and the highest a null token for the daily return."""
+    raw = raw_series(spark, sf_dir)
+    price = F.col("index_value")
 
     def text(column):
         return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
-    value = F.when(kind == 3, "bad").otherwise(text("index_value"))
-    daily = F.when(kind == 9, "NULL").otherwise(text("daily_return"))
+    value = F.when(price < 50_000, "bad").otherwise(text("index_value"))
+    daily = F.when(price >= 400_000, "NULL").otherwise(text("daily_return"))
     start = F.concat_ws(",", value, text("date"), text("index_name"), daily)
     whole = F.concat_ws(",", start, text("monthly_return"))
-    return raw.select(F.when(kind == 5, start).when(kind == 7, F.concat(whole, F.lit(",extra")))
-                      .otherwise(whole).alias("line"))
+    line = F.when(price.between(50_000, 100_000), start).when(
+        price.between(100_000, 150_000), F.concat(whole, F.lit(",extra"))).otherwise(whole)
+    return raw.select(line.alias("line"))
 
 
 def _landed_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,17 +90,17 @@ def _rounded_raw(df: DataFrame) -> DataFrame:
 
 @registered("csv_load_tolerant", f"""WITH {P}
 SELECT date, index_name, index_value,
-  round(CASE WHEN seq % 10 <> 9 THEN daily_return END, 6) AS daily_return,
+  round(CASE WHEN index_value < 400000 THEN daily_return END, 6) AS daily_return,
   round(monthly_return, 6) AS monthly_return
-FROM pr WHERE seq % 10 NOT IN (3, 5, 7)""")
+FROM pr WHERE index_value > 150000""")
 def csv_load_tolerant(spark, sf_dir):
     return _rounded_raw(good_rows(_landed_damaged(spark, sf_dir)))
 
 
 @registered("csv_quarantine", f"""WITH {P}
 SELECT strftime(date, '%Y-%m-%d') AS date, index_name,
-  CASE WHEN seq % 10 = 3 THEN 'index_value' ELSE 'field count' END AS reason
-FROM pr WHERE seq % 10 IN (3, 5, 7)""")
+  CASE WHEN index_value < 50000 THEN 'index_value' ELSE 'field count' END AS reason
+FROM pr WHERE index_value <= 150000""")
 def csv_quarantine(spark, sf_dir):
     return bad_rows(_landed_damaged(spark, sf_dir)).select("date", "index_name", "reason")
 
@@ -108,11 +115,7 @@ def csv_export_roundtrip(spark, sf_dir):
 @registered("json_load", f"WITH {P} SELECT date, index_name, index_value FROM p0")
 def json_load(spark, sf_dir):
     path = scratch_path(spark, "json")
-    series = daily_series(spark, sf_dir).drop("seq")
-    gaps = daily_series(spark, sf_dir).filter(F.col("seq") % 11 == 0).select(
-        "date", "index_name", F.lit(None).cast("double").alias("index_value"))
-    kept = daily_series(spark, sf_dir).filter(F.col("seq") % 11 != 0).select(*series.columns)
-    kept.unionByName(gaps).write.json(path)
+    daily_series_with_gaps(spark, sf_dir).drop("seq").write.json(path)
     return read_json(spark, path)
 
 
@@ -176,11 +179,11 @@ def stream_load_once(spark, sf_dir):
 
 def _refreshed_in_steps(spark: SparkSession, sf_dir: str) -> Layers:
     """Three loads, each followed by a refresh; the last one also brings late rows of earlier years
-    and rows that were landed before."""
+    (the lowest prices) and rows that were landed before."""
     layers, landing = _fresh_layers(spark), scratch_path(spark, "landing")
     load, update = scratch_path(spark, "load"), scratch_path(spark, "update")
-    raw = with_returns(daily_series(spark, sf_dir), daily_series_window())
-    late = (F.col("seq") % 97 == 0) & (F.col("date") < F.lit(dt.date(2001, 1, 1)))
+    raw = raw_series(spark, sf_dir)
+    late = (F.col("index_value") < 10_000) & (F.col("date") < F.lit(dt.date(2001, 1, 1)))
     year = F.year("date")
     steps = {
         "to1999": raw.filter(~late & (year < 2000)),
