@@ -27,6 +27,7 @@ from pricebeam.sources.tables import (
     append_load,
     create_layers,
     overwrite_table,
+    overwrite_tables,
     read_table,
 )
 
@@ -88,15 +89,13 @@ def run_analytics(spark: SparkSession, layers: Layers) -> JobResult:
     """Rebuild all analytics tables from harmonized rows."""
     harmonized = read_table(spark, layers, schemas.HARMONIZED)
     priced = performance_input(harmonized)
-    built = {
+    overwrite_tables({
         schemas.DAILY_METRICS: daily_metrics(harmonized),
         schemas.MONTHLY_METRICS: monthly_max_return(harmonized, "timestamp"),
         schemas.WEEKLY_METRICS: weekly_averages(harmonized, "timestamp", "value"),
         schemas.DAILY_PERFORMANCE: daily_performance(priced),
         schemas.WEEKLY_PERFORMANCE: weekly_performance(priced),
-    }
-    for spec, frame in built.items():
-        overwrite_table(frame, layers, spec)
+    }, layers)
     return JobResult("analytics rebuilt")
 
 

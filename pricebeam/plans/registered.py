@@ -294,7 +294,7 @@ def rolling_volatility_30_price_by_part(spark, sf_dir):
 def rolling_volatility_30_long_series(spark, sf_dir):
     """Five undeduplicated series, each a fifth of all rows, always cut into slices."""
     ticks = order_ticks(spark, sf_dir).withColumnRenamed("index_value", "value")
-    rows = max(ticks.count() // 40, 1)
+    rows = max(ticks.count() // 8, 1)
     return over_series(ticks, ["index_name"], ["date", "seq"], 29,
                        lambda df, window: with_frame_volatility(df, window, "value", 30),
                        max_rows=rows)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -92,10 +94,30 @@ def _replace(df: DataFrame, table: str, scope: str) -> None:
 
 
 def overwrite_table(df: DataFrame, layers: Layers, spec: TableSpec) -> None:
-    """Replace the whole content. `df` must not read the table it replaces."""
+    """Replace the whole content. `df` must not read the table it replaces. A run that dies half way
+    is repaired by repeating it, since every table overwritten here is rebuilt from another one."""
     _replace(_for_table(df, spec), layers.name(spec), "static")
 
 
+def overwrite_tables(frames: Mapping[TableSpec, DataFrame], layers: Layers) -> None:
+    """Rebuild several tables that do not read each other; their jobs share the cluster."""
+    conf = next(iter(frames.values())).sparkSession.conf
+    previous = conf.get(OVERWRITE_MODE)
+    conf.set(OVERWRITE_MODE, "static")
+    try:
+        _side_by_side(lambda spec: overwrite_table(frames[spec], layers, spec), frames)
+    finally:
+        conf.set(OVERWRITE_MODE, previous)
+
+
+def _side_by_side(write: Callable[[TableSpec], None], specs: Iterable[TableSpec]) -> None:
+    """Submit one write per table from its own thread; the first failure is raised after all ended."""
+    specs = list(specs)
+    with ThreadPoolExecutor(len(specs)) as pool:
+        for done in [pool.submit(write, spec) for spec in specs]:
+            done.result()
+
+
 def append_load(df: DataFrame, layers: Layers, spec: TableSpec, load_id: str) -> None:
     """Add the rows of one load as their own partition. Repeating a load replaces its rows, so a
     retried batch cannot be counted twice."""
@@ -132,6 +154,15 @@ def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
     discard(spark, stage)
 
 
+def upsert_tables(sources: Mapping[TableSpec, DataFrame], layers: Layers, token: str) -> None:
+    """Upsert into several tables that do not read each other. The session must be in dynamic
+    overwrite mode already, so that no writer has to change it under the others."""
+    for frame in sources.values():
+        if frame.sparkSession.conf.get(OVERWRITE_MODE).lower() != "dynamic":
+            raise ValueError(f"set {OVERWRITE_MODE} to dynamic first")
+    _side_by_side(lambda spec: upsert_table(sources[spec], layers, spec, token), sources)
+
+
 def _touched_months(staged: DataFrame, spec: TableSpec) -> list:
     """The months of the staged rows; raises when one of them holds a complete key twice."""
     complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in spec.key])

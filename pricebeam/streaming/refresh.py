@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,6 +33,7 @@ from pricebeam.sources.tables import (
     in_months,
     read_table,
     upsert_table,
+    upsert_tables,
 )
 
 NO_NEW_DATA = "no new data"
@@ -127,12 +127,7 @@ def apply_batch(batch: DataFrame, layers: Layers, token: str, as_of: Column,
         refreshed |= _fixed_lookback_refresh(spark, layers, as_of)
     else:
         refreshed |= _affected_refresh(spark, layers, changed)
-    # The tables do not read each other, so their jobs share the cluster.
-    with ThreadPoolExecutor(len(refreshed)) as pool:
-        writes = [pool.submit(upsert_table, frame, layers, spec, token)
-                  for spec, frame in refreshed.items()]
-        for write in writes:
-            write.result()
+    upsert_tables(refreshed, layers, token)
     discard(spark, staged)
 
 

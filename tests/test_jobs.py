@@ -8,7 +8,8 @@ from pricebeam import schemas
 from pricebeam.functions import with_returns
 from pricebeam.plans import jobs, views
 from pricebeam.plans.harmonize import harmonize
-from pricebeam.sources.tables import read_table
+from pricebeam.sources import tables
+from pricebeam.sources.tables import overwrite_table, read_table
 from pricebeam.streaming import refresh
 from pricebeam.streaming.refresh import NO_NEW_DATA, load_raw_data, update_daily_index_metrics
 from pricebeam.streaming.weekly import weekly_average_stream
@@ -119,17 +120,17 @@ def test_refresh_retries_a_failed_batch(spark, layers, scratch, monkeypatch):
     landing, load, update = scratch("landing"), scratch("load"), scratch("update")
     land(series(spark, 60), landing, "s")
     load_raw_data(spark, layers, f"{landing}/*", load)
-    write = refresh.upsert_table
+    write = tables.upsert_table
 
     def crash(source, made, spec, token=None):
         if spec is schemas.WEEKLY_METRICS:
             raise RuntimeError("lost")
         write(source, made, spec, token)
 
-    monkeypatch.setattr(refresh, "upsert_table", crash)
+    monkeypatch.setattr(tables, "upsert_table", crash)
     with pytest.raises(Exception):
         update_daily_index_metrics(spark, layers, update)
-    monkeypatch.setattr(refresh, "upsert_table", write)
+    monkeypatch.setattr(tables, "upsert_table", write)
     assert update_daily_index_metrics(spark, layers, update).rows["batches"] == 1
     incremental = {spec: contents(spark, layers, spec) for spec in DERIVED}
     jobs.run_harmonization(spark, layers)
@@ -156,8 +157,6 @@ def test_late_rows_reach_far_back_for_sparse_series(spark, layers):
     data = [(D(2020, 1, 1) + dt.timedelta(days=40 * i), "sparse", 100.0 + i * i % 17) for i in range(40)]
     df = spark.createDataFrame(data, "date date, index_name string, index_value double")
     raw = with_returns(df, Window.partitionBy("index_name").orderBy("date"))
-    from pricebeam.sources.tables import overwrite_table
-
     overwrite_table(harmonize(raw), layers, schemas.HARMONIZED)
     changed = raw.orderBy(F.desc("date")).limit(1).select("date", "index_name")
     last = data[-1][0]
@@ -209,3 +208,19 @@ def test_weekly_stream(spark, scratch):
     deliver(("2024-06-11T00:00", 99.0, 5), ("2024-06-26T00:00", 7.0, 6))
     found = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert found == [(D(2024, 6, 10), "a", 3.0), (D(2024, 6, 17), "a", 7.0)]
+
+
+def test_command_line_jobs(spark, layers, scratch):
+    from pricebeam.cli import parser, run
+
+    landing, checkpoint = scratch("landing"), scratch("checkpoint")
+    land(series(spark, 40), landing, "s")
+
+    def job(name):
+        return run(spark, parser().parse_args([
+            name, "--prefix", layers.prefix, "--root", layers.root, "--landing", landing,
+            "--checkpoint", checkpoint, "--as-of", "2024-06-01"])).status
+
+    statuses = [job(n) for n in ("create", "load", "refresh", "refresh", "harmonize", "analytics")]
+    assert statuses == ["created", "loaded", "updated", NO_NEW_DATA, "harmonized", "analytics rebuilt"]
+    assert contents(spark, layers, schemas.DAILY_METRICS)
