@@ -177,21 +177,12 @@ def stream_load_once(spark, sf_dir):
     return _rounded_raw(read_table(spark, layers, schemas.RAW_STAGING))
 
 
-def _refreshed_in_steps(spark: SparkSession, sf_dir: str) -> Layers:
-    """Three loads, each followed by a refresh; the last one also brings late rows of earlier years
-    (the lowest prices) and rows that were landed before."""
+def _refreshed_in_steps(spark: SparkSession, steps: list[DataFrame]) -> Layers:
+    """Land and load each step, refreshing after each."""
     layers, landing = _fresh_layers(spark), scratch_path(spark, "landing")
     load, update = scratch_path(spark, "load"), scratch_path(spark, "update")
-    raw = raw_series(spark, sf_dir)
-    late = (F.col("index_value") < 10_000) & (F.col("date") < F.lit(dt.date(2001, 1, 1)))
-    year = F.year("date")
-    steps = {
-        "to1999": raw.filter(~late & (year < 2000)),
-        "in2000": raw.filter(~late & (year == 2000)),
-        "rest": raw.filter(late | (year > 2000) | ((year == 2000) & (F.month("date") == 12))),
-    }
-    for label, rows in steps.items():
-        _land(rows, landing, label)
+    for number, rows in enumerate(steps):
+        _land(rows, landing, f"step{number}")
         load_raw_data(spark, layers, f"{landing}/*", load)
         update_daily_index_metrics(spark, layers, update, AS_OF)
     return layers
@@ -202,7 +193,9 @@ SELECT date, index_name, index_value, round(daily_return, 6) AS daily_return,
   CAST(date AS TIMESTAMP) AS timestamp, round(monthly_return, 6) AS monthly_return FROM pr""")
 def stream_fanout(spark, sf_dir):
     """Both sinks of the refresh hold the same rows: daily metrics joined to harmonized rows."""
-    layers = _refreshed_in_steps(spark, sf_dir)
+    raw = raw_series(spark, sf_dir)
+    layers = _refreshed_in_steps(spark, [raw.filter(F.year("date") < 2001),
+                                         raw.filter(F.year("date") >= 2000)])
     daily = read_table(spark, layers, schemas.DAILY_METRICS)
     harmonized = read_table(spark, layers, schemas.HARMONIZED).select(
         "timestamp", "index_name", "monthly_return", F.col("timestamp").cast("date").alias("date"))
@@ -221,7 +214,15 @@ UNION ALL SELECT 'weekly_index_metrics', date_trunc('week', date)::DATE, index_n
 UNION ALL SELECT 'monthly_index_metrics', date_trunc('month', date)::DATE, index_name,
   round(max(monthly_return), 6), NULL, NULL FROM pr GROUP BY 2, 3""")
 def incremental_equals_full(spark, sf_dir):
-    layers = _refreshed_in_steps(spark, sf_dir)
+    """Three refreshes; the last one also brings late rows of earlier years (the lowest prices) and
+    rows that were landed before."""
+    raw, year = raw_series(spark, sf_dir), F.year("date")
+    late = (F.col("index_value") < 10_000) & (year < 2001)
+    layers = _refreshed_in_steps(spark, [
+        raw.filter(~late & (year < 2000)),
+        raw.filter(~late & (year == 2000)),
+        raw.filter(late | (year > 2000) | ((year == 2000) & (F.month("date") == 12))),
+    ])
     tables = (schemas.DAILY_PERFORMANCE, schemas.WEEKLY_PERFORMANCE, schemas.WEEKLY_METRICS,
               schemas.MONTHLY_METRICS)
     out = None

@@ -38,8 +38,8 @@ from pricebeam.sources.tables import (
 
 NO_NEW_DATA = "no new data"
 
-# How many months before the first changed one are read; the whole history where that is too few.
-READ_BACK_MONTHS = (3, 24)
+# How many months before the first changed one are read; more only for series sparser than that.
+READ_BACK_MONTHS = 3
 
 
 def drain(stream: DataFrame, checkpoint: str, process: Callable[[DataFrame, int], None],
@@ -181,9 +181,9 @@ def affected_daily_performance(stored: DataFrame, changed: DataFrame, first_mont
     """Daily performance of every row whose trailing frame holds a changed row.
 
     `stored` is the harmonized table with its month partition, `changed` the changed (date, index)
-    keys, the first of them in `first_month`. Only changed series are read, from a month early
-    enough that each has a full frame of rows before its first change; the window then marks and
-    computes in one pass.
+    keys, the first of them in `first_month`. Only changed series are read, and only as far back
+    as each needs for a full frame before its first change; the window then marks and computes in
+    one pass.
     """
     first_change = changed.groupBy("index_name").agg(F.min("date").alias("first_change"))
     history = _whole_frames(stored, first_change, first_month, rows)
@@ -198,17 +198,15 @@ def affected_daily_performance(stored: DataFrame, changed: DataFrame, first_mont
 
 def _whole_frames(stored: DataFrame, first_change: DataFrame, first_month: dt.date,
                   rows: int) -> DataFrame:
-    """History of the changed series, read back as few months as whole frames need."""
+    """Rows of the changed series from a few months back, and all older rows of those series for
+    which that holds less than a frame before their first change."""
     of_changed = stored.join(first_change, "index_name")
+    since = F.add_months(F.lit(first_month), -READ_BACK_MONTHS)
+    recent = of_changed.filter(F.col("part_month") >= since)
     before = F.col("timestamp").cast("date") < F.col("first_change")
-    for months in READ_BACK_MONTHS:
-        since = F.add_months(F.lit(first_month), -months)
-        recent = of_changed.filter(F.col("part_month") >= since)
-        # A series is short when the part read holds less than a frame before its first change;
-        # that only matters when it has older rows.
-        counted = recent.groupBy("index_name").agg(F.count(F.when(before, 1)).alias("n"))
-        short = counted.filter(F.col("n") < rows - 1)
-        older = stored.filter(F.col("part_month") < since).select("index_name")
-        if older.join(short, "index_name", "left_semi").isEmpty():
-            return recent
-    return of_changed
+    counted = recent.groupBy("index_name").agg(F.count(F.when(before, 1)).alias("n"))
+    short = counted.filter(F.col("n") < rows - 1).select("index_name")
+    if short.isEmpty():
+        return recent
+    older = of_changed.filter(F.col("part_month") < since)
+    return recent.unionByName(older.join(short, "index_name", "left_semi"))
