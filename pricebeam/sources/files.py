@@ -35,9 +35,13 @@ def read_csv_text(spark: SparkSession, path: str, schema: T.StructType = RAW_VAL
 
 
 def stream_csv_text(spark: SparkSession, path: str, schema: T.StructType = RAW_VALUES,
-                    delimiter: str = ",") -> DataFrame:
-    """The same as a stream: each file in the directory is delivered once per checkpoint."""
-    return _text_reader(spark.readStream, schema, delimiter).csv(path)
+                    delimiter: str = ",", files_per_batch: int | None = None) -> DataFrame:
+    """The same as a stream: each file in the directory is delivered once per checkpoint, oldest
+    first, in batches of at most `files_per_batch` files when that is given."""
+    reader = _text_reader(spark.readStream, schema, delimiter)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(path)
 
 
 def null_tokens(column: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:

@@ -147,10 +147,10 @@ def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
             discard(spark, stage)
             return
         merged = upsert(in_months(target, months), staged, spec.key)
-        merged.write.mode("overwrite").parquet(merged_path)
+        merged.hint("rebalance", F.col(spec.partition)).write.mode("overwrite").parquet(merged_path)
+    # Each merged file holds few months already, so replacing is a copy without a shuffle.
     merged = spark.read.schema(target.schema).parquet(merged_path)
-    rows = merged.select(*target.columns).hint("rebalance", F.col(spec.partition))
-    _replace(rows, layers.name(spec), "dynamic")
+    _replace(merged.select(*target.columns), layers.name(spec), "dynamic")
     discard(spark, stage)
 
 

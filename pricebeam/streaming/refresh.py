@@ -42,8 +42,8 @@ NO_NEW_DATA = "no new data"
 READ_BACK_MONTHS = 3
 
 
-def drain(stream: DataFrame, checkpoint: str, process: Callable[[DataFrame, int], None],
-          max_batches: int | None = None) -> StreamingQuery:
+def drain(stream: DataFrame, checkpoint: str,
+          process: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """One scheduled run: process everything new since the checkpoint, then stop."""
     query = (
         stream.writeStream.foreachBatch(process)
@@ -55,10 +55,11 @@ def drain(stream: DataFrame, checkpoint: str, process: Callable[[DataFrame, int]
     return query
 
 
-def load_raw_data(spark: SparkSession, layers: Layers, landing_dir: str,
-                  checkpoint: str) -> JobResult:
+def load_raw_data(spark: SparkSession, layers: Layers, landing_dir: str, checkpoint: str,
+                  files_per_batch: int | None = None) -> JobResult:
     """Load each landed file once: good rows to staging, bad rows to quarantine, one load id per
-    batch. A batch that is repeated after a failure replaces its own load."""
+    batch. A batch that is repeated after a failure replaces its own load. `files_per_batch` cuts
+    a large first load into several."""
     loaded = {"loads": 0}
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -69,7 +70,8 @@ def load_raw_data(spark: SparkSession, layers: Layers, landing_dir: str,
         append_load(bad_rows(rows).select("*", stamp), layers, schemas.RAW_QUARANTINE, load_id)
         loaded["loads"] += 1
 
-    drain(stream_csv_text(spark, landing_dir), checkpoint, process)
+    stream = stream_csv_text(spark, landing_dir, files_per_batch=files_per_batch)
+    drain(stream, checkpoint, process)
     return JobResult("loaded" if loaded["loads"] else NO_NEW_DATA, loaded)
 
 

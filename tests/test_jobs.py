@@ -55,6 +55,15 @@ def test_load_once(spark, layers, scratch):
     assert raw.select("load_timestamp").distinct().count() == 2
 
 
+def test_a_large_load_in_batches(spark, layers, scratch, tmp_path):
+    for day in (2, 3, 4):
+        (tmp_path / f"{day}.csv").write_text(
+            f"value,date,index,daily_return,monthly_return\n1.5,2024-01-0{day},DOW,,\n")
+    done = load_raw_data(spark, layers, str(tmp_path), scratch("load"), files_per_batch=1)
+    assert done.rows["loads"] == 3
+    assert spark.table(layers.name(schemas.RAW_STAGING)).select("load_id").distinct().count() == 3
+
+
 def test_bad_rows_are_set_aside(spark, layers, scratch, tmp_path):
     (tmp_path / "a.csv").write_text("value,date,index,daily_return,monthly_return\n"
                                     "1.5,2024-01-02,DOW,,\nx,2024-01-02,DOW,,\n1.5,2024-01-02\n")
