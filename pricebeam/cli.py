@@ -1,4 +1,4 @@
-"""Run a job: `spark-submit -m`-style entry, `python -m pricebeam.cli <job> ...`.
+"""Run a job: `python -m pricebeam.cli <job> ...`, or this file through spark-submit.
 
 A scheduler calls `load`, `refresh` or `end-to-end` once per run; each drains what is new.
 """

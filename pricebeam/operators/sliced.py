@@ -44,7 +44,8 @@ def over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], look
     same = _all(F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in series)
     cold_result = compute(df.join(keys, same, "left_anti"),
                           Window.partitionBy(*series).orderBy(*order))
-    sliced = _slice(df.join(keys, same, "left_semi"), series, order, ceil(SLICES_PER_LIMIT * hot_rows / max_rows))
+    sliced = _slice(df.join(keys, same, "left_semi"), series, order,
+                    ceil(SLICES_PER_LIMIT * hot_rows / max_rows))
     return cold_result.unionByName(_over_slices(sliced, series, order, lookback, compute))
 
 

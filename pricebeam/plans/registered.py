@@ -662,6 +662,3 @@ SELECT date, index_name, round(avg(index_value) OVER (PARTITION BY index_name OR
 def moving_average(spark, sf_dir):
     return comparison.moving_average(daily_series(spark, sf_dir), "index_value").select(
         "date", "index_name", r6("moving_average"))
-
-
-from pricebeam.plans import registered_files  # noqa: E402,F401  (adds the file and stream queries)

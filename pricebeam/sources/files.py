@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from pricebeam.schemas import LANDED_JSON, RAW_VALUES
 
+# Tokens of a missing value in landed files, and in pulled series files.
 NULL_TOKENS = ("", "NULL")
+PULL_NULL_TOKENS = ("", "NULL", ".")
 BROKEN_LINE = "_broken_line"
 
 
@@ -72,14 +74,18 @@ def classify(text: DataFrame, schema: T.StructType = RAW_VALUES,
     )
 
 
-def good_rows(classified: DataFrame, schema: T.StructType = RAW_VALUES) -> DataFrame:
-    """Typed rows. NaN is turned into null, since a maximum over NaN is NaN."""
-    return classified.filter(F.col("reason").isNull()).select(*[
+def _typed(classified: DataFrame, schema: T.StructType) -> DataFrame:
+    """The typed columns. NaN is turned into null, since a maximum over NaN is NaN."""
+    return classified.select(*[
         F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
         for f in schema.fields])
 
 
+def good_rows(classified: DataFrame, schema: T.StructType = RAW_VALUES) -> DataFrame:
+    return _typed(classified.filter(F.col("reason").isNull()), schema)
+
+
 def bad_rows(classified: DataFrame) -> DataFrame:
     """Rows set aside, with their text as it was read and the fields that failed."""
     return classified.filter(F.col("reason").isNotNull()).select("_text.*", "reason")
@@ -91,24 +97,25 @@ def read_csv_strict(spark: SparkSession, path: str, schema: T.StructType = RAW_V
     classified = classify(read_csv_text(spark, path, schema, delimiter), schema, tokens)
     stop = F.raise_error(F.concat(F.lit("bad row, "), F.col("reason"), F.lit(": "),
                                   F.to_json("_text")))
-    # The check sits in each output column, so no projection can prune it away.
-    checked = classified.select(*[
-        F.when(F.col("reason").isNotNull(), stop.cast(f.dataType)).otherwise(F.col(f.name))
-        .alias(f.name) for f in schema.fields], F.lit(None).cast("string").alias("reason"))
-    return good_rows(checked, schema)
+    # As a filter the check also runs when no column is asked for, as in a count.
+    return _typed(classified.filter(F.col("reason").isNull() | stop.cast("boolean")), schema)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType = LANDED_JSON) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def pull_series(spark: SparkSession, path: str, start: Column, end: Column) -> DataFrame:
+def pull_series(spark: SparkSession, path: str, start: Column, end: Column,
+                tokens: Sequence[str] = PULL_NULL_TOKENS) -> DataFrame:
     """Every series below `path` in one DataFrame, trimmed to the date range: one directory
-    `series_id=<id>` of (date, value) CSV files per series. Missing values are null."""
-    text = T.StructType([T.StructField(n, T.StringType()) for n in ("date", "value", "series_id")])
-    rows = spark.read.schema(text).option("header", True).csv(path).select(
-        "series_id",
-        null_tokens(F.col("date")).try_cast("date").alias("date"),
-        null_tokens(F.col("value")).try_cast("double").alias("value"),
-    )
-    return rows.filter(F.col("date").between(start, end))
+    `series_id=<id>` of (date, value) CSV files per series. Missing values are null; a field that
+    does not parse fails the pull."""
+    names = ("date", "value", "series_id")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    fields = {"date": F.col("date"), "value": null_tokens(F.col("value"), tokens)}
+    typed = {"date": fields["date"].try_cast("date"), "value": fields["value"].try_cast("double")}
+    parses = typed["date"].isNotNull() & (fields["value"].isNull() | typed["value"].isNotNull())
+    stop = F.raise_error(F.concat_ws(" ", F.lit("bad series row:"), *names)).cast("boolean")
+    rows = spark.read.schema(text).option("header", True).csv(path).filter(parses | stop)
+    return rows.select("series_id", *[c.alias(n) for n, c in typed.items()]).filter(
+        F.col("date").between(start, end))

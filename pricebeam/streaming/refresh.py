@@ -15,7 +15,6 @@ from pricebeam.operators.rollups import (
     FRAME_ROWS,
     LOOKBACK_DAYS,
     current_month_max_return,
-    daily_performance,
     monthly_max_return,
     recent_daily_performance,
     recent_weekly_performance,

@@ -95,7 +95,8 @@ def test_harmonize_keeps_the_newest_load(spark):
     rows = [(1.0, D(2024, 1, 2), "a", None, None, 1), (2.0, D(2024, 1, 2), "a", None, None, 2),
             (2.0, D(2024, 1, 2), "a", None, None, 2)]
     raw = spark.createDataFrame(
-        rows, "index_value double, date date, index_name string, daily_return double, monthly_return double, n int")
+        rows, "index_value double, date date, index_name string, daily_return double, "
+              "monthly_return double, n int")
     out = harmonize(raw, ("n",)).collect()
     assert len(out) == 1 and out[0].value == 2.0 and out[0].timestamp == dt.datetime(2024, 1, 2)
 

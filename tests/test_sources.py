@@ -61,6 +61,8 @@ def test_strict_load_raises(spark, landed, line):
     folder = landed(LINES.splitlines()[0] + "\n1.0,2024-01-02,DOW,,\n" + line + "\n")
     with pytest.raises(Exception, match="bad row"):
         read_csv_strict(spark, folder).select("index_name").collect()
+    with pytest.raises(Exception, match="bad row"):
+        read_csv_strict(spark, folder).count()
 
 
 def test_every_file_has_its_header_skipped(spark, landed):
@@ -78,12 +80,16 @@ def test_json(spark, landed):
 
 
 def test_pull_series(spark, tmp_path):
-    for series, rows in {"SP500": "2024-01-02,5\n2024-01-03,\n", "DJIA": "2023-12-29,1\n2024-01-02,7\n"}.items():
+    files = {"SP500": "2024-01-02,5\n2024-01-03,.\n", "DJIA": "2023-12-29,1\n2024-01-02,7\n"}
+    for series, rows in files.items():
         (tmp_path / f"series_id={series}").mkdir()
         (tmp_path / f"series_id={series}" / "x.csv").write_text("DATE,VALUE\n" + rows)
     out = pull_series(spark, str(tmp_path), F.lit(D(2024, 1, 1)), F.lit(D(2024, 1, 31)))
     assert sorted((tuple(r) for r in out.collect()), key=repr) == [
         ("DJIA", D(2024, 1, 2), 7.0), ("SP500", D(2024, 1, 2), 5.0), ("SP500", D(2024, 1, 3), None)]
+    (tmp_path / "series_id=SP500" / "y.csv").write_text("DATE,VALUE\n2024-01-02,five\n")
+    with pytest.raises(Exception, match="bad series row: 2024-01-02 five SP500"):
+        pull_series(spark, str(tmp_path), F.lit(D(2024, 1, 1)), F.lit(D(2024, 1, 31))).collect()
     plan = out.filter("series_id = 'SP500'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(series_id" in plan
 
