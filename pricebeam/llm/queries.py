@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pricebeam.llm import quality
+from pricebeam.llm.html_text import extract_text
+from pricebeam.llm.pieces import encode_pieces
 from pricebeam.llm.simhash import simhash_components
 from pricebeam.llm.substrings import remove_repeated_windows
+from pricebeam.llm.suffixes import remove_repeated_bytes
+from pricebeam.llm.token_counts import count_tokens
+from pricebeam.llm.warc import archived_history
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL for those that it can express.
@@ -23,6 +30,34 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+
+
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every whole text, and the text they decode to."""
+    return encode_pieces(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), scores="rank",
+                         decoded="decoded").select("doc_id", "n_pieces", "ids", "decoded")
+
+
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(_pages(spark, sf_dir)).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document; the source is the host."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    return quality.judged(docs, host="source").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op3_quality_rules"] = quality.ORACLE
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left when every 35-word passage that occurs twice is removed."""
@@ -30,7 +65,28 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, read back and merged into one ordered history."""
+    return archived_history(_pages(spark, sf_dir)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp")
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text by the 50k byte-level vocabulary."""
+    return count_tokens(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 64-bit fingerprints differ in at most 4 bits."""
     return simhash_components(_documents(spark, sf_dir), shingle=4, distance=4)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left when every 200-byte string that occurs twice is removed."""
+    return remove_repeated_bytes(_documents(spark, sf_dir), window=200).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
