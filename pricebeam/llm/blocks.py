@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pricebeam.session import scratch_path
 
 #: Bytes of text after which a block is closed. A longer text is a block by itself.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Columns of a block table, beside the caller's columns, which travel in one struct.
 BLOCK, ROW, TEXT, PAYLOAD = "block", "row", "text", "payload"
 
@@ -78,15 +78,16 @@ class Blocks:
     def __init__(self, docs: DataFrame, text: str = "text"):
         self.spark = docs.sparkSession
         thin = packed(docs, text)
-        self.schema = T.StructType([
+        schema = T.StructType([
             T.StructField(BLOCK, T.LongType()), T.StructField(ROW, T.LongType()), *thin.schema.fields])
         path = scratch_path(self.spark, "blocks")
         self.partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         name = f"pricebeam_blocks_{uuid.uuid4().hex}"
-        (thin.mapInArrow(_number_blocks, self.schema).write.bucketBy(self.partitions, BLOCK)
+        (thin.mapInArrow(_number_blocks, schema).write.bucketBy(self.partitions, BLOCK)
          .option("path", path).format("parquet").saveAsTable(name))
         self.table = self.spark.table(name)
-        blocks = self.table.select(F.count_distinct(BLOCK)).first()[0]
+        self.schema = self.table.schema
+        self.count = blocks = self.table.select(F.count_distinct(BLOCK)).first()[0]
         #: Ranges of the hash; each gets as many hashes as a block or a few have.
         self.buckets = max(self.partitions, blocks // 4, 1)
 

@@ -20,10 +20,17 @@ from pricebeam.session import materialize
 GRAM = 16
 #: Bytes that multikey quicksort orders before blind tries take over.
 SHALLOW = 24
-#: Reply bits: the whole segment occurs elsewhere; this block sends it to the sort.
-REPEATED, SEND = 1, 2
+#: Reply bits: the whole segment occurs elsewhere; this block stands for it; its gram is in too many
+#: different segments.
+REPEATED, SEND, HOT = 1, 2, 4
+#: Different segments of a gram beyond which they are told apart by more than the gram.
+HOT_SEGMENTS = 500
+#: Window starts of a piece: a hot segment is cut where the distance to its gram is a multiple of this.
+PIECE = 24
+#: Suffixes that are sorted at a time.
+SORTED = 200_000
 
-SEGMENT_SCHEMA = "bucket int, block long, starts binary, lengths binary, sure binary, data binary"
+SEGMENT_SCHEMA = "bucket int, block long, grams binary, starts binary, lengths binary, sure binary, data binary"
 
 
 def padded_words(data: np.ndarray, order: str) -> np.ndarray:
@@ -59,8 +66,9 @@ class _Runs:
         valid = marked(self.offsets[:-1][long], self.offsets[1:][long] - window + 1, n)
         at = np.flatnonzero(valid)
         if not len(at):
-            self.first = self.last = np.zeros(0, np.int64)
+            self.first = self.last = self.at = np.zeros(0, np.int64)
             self.gram = self.segment = np.zeros(0, np.uint64)
+            self.hash = RangeHash(np.zeros(0, np.uint64))
             return
         words = padded_words(self.data, "<")
         gram = words[: n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
@@ -75,8 +83,25 @@ class _Runs:
         #: First and last window start of each run, the gram's hash, and the hash of all its bytes.
         self.first = at[first]
         self.last = at[np.append(first[1:], len(at)) - 1]
-        self.gram = gram[chosen[first]]
-        self.segment = RangeHash(random_table(256, 3)[self.data]).of(self.first, self.last + window)
+        self.at = chosen[first]
+        self.gram = gram[self.at]
+        del words, gram, ranked, chosen, valid
+        self.hash = RangeHash(random_table(256, 3)[self.data])
+        self.segment = self.hash.of(self.first, self.last + window)
+
+    def pieces(self, which: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Runs `which` cut into pieces: (index into `which`, first and last window start, hash of the
+        core, hash of all bytes). Windows of a piece are at similar distances from the gram, so all of
+        them hold the bytes in the middle, the core; equal windows are in pieces with equal cores."""
+        first, last, at = self.first[which], self.last[which], self.at[which]
+        low, high = (at - last) // PIECE, (at - first) // PIECE  # classes of distance
+        times = high - low + 1
+        of = np.repeat(np.arange(len(which)), times)
+        number = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+        latest = at[of] - number * PIECE  # the last start that the class can have
+        begin, end = np.maximum(first[of], latest - PIECE + 1), np.minimum(last[of], latest)
+        core = self.hash.of(latest, latest - PIECE + 1 + window)
+        return of, begin, end, core, self.hash.of(begin, end + window)
 
 
 def _ask(window: int, buckets: int):
@@ -87,41 +112,85 @@ def _ask(window: int, buckets: int):
     return work
 
 
-def _judge(keys: list[np.ndarray], many: np.ndarray, _blocks: np.ndarray) -> np.ndarray:
+def _ask_pieces(window: int, buckets: int):
+    """The pieces of the segments of hot grams, each asked for by the block that stands for its segment."""
+    def work(table: pa.Table, answers: pa.Table) -> pa.Table:
+        pieces = _hot_pieces(table, answers, window)
+        if pieces is None:
+            return NOTHING_ASKED
+        _, _, _, distinct, many, _ = pieces
+        return asked(table.column(BLOCK)[0].as_py(), distinct, many, buckets)
+    return work
+
+
+def _hot_pieces(table: pa.Table, answers: pa.Table, window: int, runs: _Runs | None = None):
+    """(first and last start of each piece, the piece of each of these, their distinct keys, whether one of
+    its copies is sure to occur elsewhere, runs); None if the block stands for no hot segment."""
+    reply = replies_of(answers, 0, "u1") if answers.num_rows else np.zeros(0, np.uint8)
+    hot = np.flatnonzero((reply & (HOT | SEND)) == HOT | SEND)
+    if not len(hot) or not table.num_rows:
+        return None
+    runs = runs or _Runs(table, window)
+    which = Distinct(runs.gram, runs.segment).first[hot]
+    of, begin, end, core, whole = runs.pieces(which, window)
+    distinct = Distinct(core, whole)
+    sure = (reply[hot] & REPEATED > 0)[of]
+    many = (np.bincount(distinct.inverse, weights=sure, minlength=len(distinct.first)) + distinct.counts > 1)
+    return begin, end, distinct.inverse, distinct, many.astype(np.uint8), runs
+
+
+def _judge(hot_segments: int):
     """Segments that occur twice are covered as they are. If a gram has different segments, the first
     sender of each is asked for its bytes; copies are never sent twice."""
-    same = Distinct(*keys)
-    repeated = np.bincount(same.inverse, weights=many, minlength=len(same.first)) + same.counts > 1
-    gram = Distinct(same.keys[0])
-    several = gram.counts[gram.inverse] > 1
-    reply = repeated[same.inverse].astype(np.uint8) * np.uint8(REPEATED)
-    reply[same.first[several]] |= np.uint8(SEND)
-    return reply
+    def work(keys: list[np.ndarray], many: np.ndarray, _blocks: np.ndarray) -> np.ndarray:
+        same = Distinct(*keys)
+        repeated = np.bincount(same.inverse, weights=many, minlength=len(same.first)) + same.counts > 1
+        gram = Distinct(same.keys[0])
+        several = gram.counts[gram.inverse]
+        reply = repeated[same.inverse].astype(np.uint8) * np.uint8(REPEATED)
+        reply[same.first[several > 1]] |= np.uint8(SEND)
+        reply[same.first[several > hot_segments]] |= np.uint8(HOT)
+        return reply
+    return work
+
+
+NOTHING_ASKED = pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int64()),
+                          "hashes": pa.array([], pa.binary()), "extra": pa.array([], pa.binary())})
 
 
 def _send(window: int, buckets: int):
+    """Bytes of the segments that have to be compared, and of the pieces of hot ones."""
     def work(table: pa.Table, answers: pa.Table) -> pa.Table:
-        out = {k: [] for k in ("bucket", "block", "starts", "lengths", "sure", "data")}
+        out = {k: [] for k in ("bucket", "block", "grams", "starts", "lengths", "sure", "data")}
         if table.num_rows and answers.num_rows:
             runs = _Runs(table, window)
             distinct = Distinct(runs.gram, runs.segment)
             reply = replies_of(answers, 0, "u1")
-            chosen = np.flatnonzero(reply & SEND)
-            starts = runs.first[distinct.first[chosen]]
-            ends = runs.last[distinct.first[chosen]] + window
-            sure = (reply[chosen] & REPEATED).astype(np.uint8)
-            cuts = np.searchsorted(distinct.keys[0][chosen], edges(buckets))
-            cuts = np.concatenate([[0], cuts, [len(chosen)]])
+            chosen = np.flatnonzero((reply & (HOT | SEND)) == SEND)
+            run = distinct.first[chosen]
+            parts = [(distinct.keys[0][chosen], runs.first[run], runs.last[run] + window, reply[chosen] & REPEATED)]
+            pieces = _hot_pieces(table, answers, window, runs)
+            if pieces is not None:
+                begin, end, _, distinct, _, _ = pieces
+                reply = replies_of(answers, 2, "u1")
+                chosen = np.flatnonzero(reply & SEND)
+                piece = distinct.first[chosen]
+                parts.append((distinct.keys[0][chosen], begin[piece], end[piece] + window, reply[chosen] & REPEATED))
+            keys, starts, ends, sure = (np.concatenate(x) for x in zip(*parts))
+            by = np.argsort(keys, kind="stable")
+            keys, starts, ends, sure = keys[by], starts[by], ends[by], sure[by].astype(np.uint8)
+            cuts = np.concatenate([[0], np.searchsorted(keys, edges(buckets)), [len(keys)]])
             raw = runs.data.tobytes()
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 own = slice(cuts[b], cuts[b + 1])
                 out["bucket"].append(b)
                 out["block"].append(table.column(BLOCK)[0].as_py())
+                out["grams"].append(keys[own].tobytes())
                 out["starts"].append(starts[own].astype(np.int64).tobytes())
                 out["lengths"].append((ends - starts)[own].astype(np.int64).tobytes())
                 out["sure"].append(sure[own].tobytes())
                 out["data"].append(b"".join(raw[x:y] for x, y in zip(starts[own].tolist(), ends[own].tolist())))
-        types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        types = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), types)})
     return work
 
@@ -218,7 +287,7 @@ def _split_by(order: np.ndarray, new: np.ndarray, places: np.ndarray, first: np.
     new[places[1:][(key[1:] != key[:-1]) & (first[1:] == first[:-1])]] = True
 
 
-def _sort(window: int):
+def _sort(window: int, at_once: int):
     def work(table: pa.Table) -> pa.Table:
         def column(name: str, dtype: str) -> list[np.ndarray]:
             return [np.frombuffer(x, dtype) for x in table.column(name).to_pylist()]
@@ -227,17 +296,42 @@ def _sort(window: int):
         asked_by = np.repeat(np.arange(len(lengths)), [len(x) for x in lengths])
         length, start = np.concatenate(lengths), np.concatenate(column("starts", "i8"))
         sure = np.concatenate(column("sure", "u1")) > 0
+        grams = np.concatenate(column("grams", "u8"))
         data = np.concatenate(column("data", "u1"))
         base = np.cumsum(length) - length
-        windows = length - window + 1
-        of = np.repeat(np.arange(len(length)), windows)
-        inner = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-        order, same = deep_shallow_sort(data, base[of] + inner, window)
-        twice = np.zeros(len(of), bool)
-        twice[order] = same | np.append(same[1:], False)
-        found = np.flatnonzero(twice & ~sure[of])
-        owner = asked_by[of[found]]
-        at = start[of[found]] + inner[found]
+        by_gram = np.argsort(grams, kind="stable")
+        last = np.append(grams[by_gram][1:] != grams[by_gram][:-1], True)
+        total = np.cumsum((length - window + 1)[by_gram])
+        owners, places = [], []
+        begin = 0
+        while begin < len(by_gram):
+            done = total[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(total, done + at_once, side="right")))
+            while not last[end - 1]:
+                end += 1
+            own = by_gram[begin:end]
+            begin = end
+            windows = (length - window + 1)[own]
+            of = np.repeat(own, windows)
+            inner = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+            # Only these segments' bytes, one after the other.
+            sizes = length[own]
+            shift = np.cumsum(sizes) - sizes
+            bytes_ = data[np.repeat(base[own] - shift, sizes) + np.arange(sizes.sum())]
+            starts = np.repeat(shift, windows) + inner
+            twice = np.zeros(len(of), bool)
+            # A gram with more suffixes than are sorted at a time: equal strings are in one part.
+            parts = -(-len(of) // at_once)
+            part = (RangeHash(random_table(256, 5)[bytes_]).of(starts, starts + window) % np.uint64(parts)
+                    if parts > 1 else np.zeros(len(of), np.uint64))
+            for i in range(parts):
+                mine = np.flatnonzero(part == i)
+                order, same = deep_shallow_sort(bytes_, starts[mine], window)
+                twice[mine[order]] = same | np.append(same[1:], False)
+            twice &= ~sure[of]
+            owners.append(asked_by[of[twice]])
+            places.append((start[of] + inner)[twice])
+        owner, at = np.concatenate(owners), np.concatenate(places)
         blocks = table.column("block").to_numpy()[owner]
         by = np.argsort(blocks, kind="stable")
         values, begin = np.unique(blocks[by], return_index=True)
@@ -261,6 +355,11 @@ def _cut(window: int):
             if len(runs.first):
                 whole = reply[Distinct(runs.gram, runs.segment).inverse] & REPEATED > 0
                 gone |= marked(runs.first[whole], runs.last[whole] + window, n)
+            pieces = _hot_pieces(table, answers, window, runs)
+            if pieces is not None:
+                begin, end, inverse, _, _, _ = pieces
+                whole = replies_of(answers, 2, "u1")[inverse] & REPEATED > 0
+                gone |= marked(begin[whole], end[whole] + window, n)
             at = replies_of(answers, 1, "i8")
             gone |= marked(at, at + window, n)
         inner = np.zeros(n + 1, bool)
@@ -293,13 +392,16 @@ def _cut(window: int):
     return work
 
 
-def remove_repeated_bytes(docs: DataFrame, window: int = 200, text: str = "text") -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, window: int = 200, text: str = "text",
+                          hot_segments: int = HOT_SEGMENTS, sorted_at_once: int = SORTED) -> DataFrame:
     """Remove each byte covered by a `window`-byte string that also starts anywhere else.
 
     Texts are UTF-8 bytes; strings lie within one row and are judged on the input. Windows are
     gathered in runs by their gram with the smallest hash. A run whose whole bytes occur elsewhere is
     covered at once; runs of one gram that differ send their bytes, one copy each, to the bucket of
-    the gram, where all their suffixes are sorted and equal neighbours found.
+    the gram, where all their suffixes are sorted and equal neighbours found. A gram in very many
+    different runs (a passage that many texts share) is not one group: its runs are cut into pieces
+    that are judged again by most of their bytes, and only pieces that share these meet.
 
     Returns the columns of `docs` with the text that is left (a character of which only some bytes are
     left goes too), n_bytes, n_removed, n_spans, spans (start and end byte), and kept_sha256 over the
@@ -309,9 +411,11 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 200, text: str = "text"
     if window < 2 * GRAM:
         raise ValueError(f"window must be at least {2 * GRAM} bytes")
     blocks = Blocks(docs, text)
-    judged = materialize(compare(blocks.each(_ask(window, blocks.buckets), ASK_SCHEMA), _judge, 2, "u1"), "judged")
+    judged = materialize(compare(blocks.each(_ask(window, blocks.buckets), ASK_SCHEMA), _judge(hot_segments), 2, "u1"), "judged")
+    asks = blocks.with_replies(judged, _ask_pieces(window, blocks.buckets), ASK_SCHEMA)
+    judged = judged.union(materialize(compare(asks, _judge(hot_segments), 2, "u1", kind=2), "judged"))
     segments = blocks.with_replies(judged, _send(window, blocks.buckets), SEGMENT_SCHEMA)
-    sorted_windows = materialize(segments.groupBy("bucket").applyInArrow(_sort(window), REPLY_SCHEMA), "sorted")
+    sorted_windows = materialize(segments.groupBy("bucket").applyInArrow(_sort(window, sorted_at_once), REPLY_SCHEMA), "sorted")
     new = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(),
            "spans": T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
                                               T.StructField("end", T.LongType())])),
