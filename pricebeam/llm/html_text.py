@@ -162,7 +162,7 @@ def container_scores(blocks: list[tuple[tuple[str, ...], bool, str, int]]) -> di
                 bonus = 1.3 if tag in ("article", "main") else 1.0
                 key = "/".join(path[:i])
                 scores[key] = scores.get(key, 0.0) + weight * bonus * worth
-                weight *= 0.8
+                weight *= 0.6
     return scores
 
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricebeam.llm import quality
+from pricebeam.llm import quality, substrings, warc
+from pricebeam.llm.bilinear import score_texts
+from pricebeam.llm.decontaminate import overlaps
 from pricebeam.llm.html_text import extract_text
 from pricebeam.llm.pieces import encode_pieces
 from pricebeam.llm.simhash import simhash_components
@@ -56,6 +58,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_quality_rules"] = quality.ORACLE
+ORACLES["op4_substring_dedup"] = substrings.ORACLE
+ORACLES["op5_warc"] = warc.ORACLE
 
 
 @query
@@ -72,6 +76,13 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp")
 
 
+@query
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and log-bilinear log-probabilities of every whole text, learned from four fifths of them."""
+    return score_texts(_documents(spark, sf_dir), fold=1).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text by the 50k byte-level vocabulary."""
@@ -90,3 +101,9 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left when every 200-byte string that occurs twice is removed."""
     return remove_repeated_bytes(_documents(spark, sf_dir), window=200).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of every document with every benchmark item."""
+    return overlaps(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

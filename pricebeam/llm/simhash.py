@@ -248,3 +248,18 @@ def simhash_components(docs: DataFrame, shingle: int = 4, distance: int = 4, tex
                        "fingerprints")
     return near_groups(rows, distance, key).select(
         key, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = 4, distance: int = 4, text: str = "text",
+                      key: str = "doc_id") -> DataFrame:
+    """The rows of `docs`, one for each group of `simhash_components`: that with the smallest key (null
+    keys last; of rows with that key, one). Texts are written once and meet only the rows to keep."""
+    thin = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
+                       F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text"))
+    rows = materialize(with_fingerprints(thin, shingle, "__text").drop("__text")
+                       .withColumn("__row", F.monotonically_increasing_id()), "fingerprints")
+    place = F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("key"), F.col("__row").alias("row"))
+    kept = (near_groups(rows.select(place.alias("place"), "fingerprint"), distance, key="place")
+            .filter("place = component_id").select(F.col("place.row").alias("__row")))
+    return (rows.join(materialize(kept, "kept"), "__row", "left_semi")
+            .select(*[F.col(f"__doc.`{c}`").alias(c) for c in docs.columns]))

@@ -106,7 +106,8 @@ def _removed(window: int):
         raw = out.tobytes()
         kept = [raw[a : max(a, b - 1)] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         return pa.table({
-            TEXT: pa.array([x.decode("utf-8") for x in kept], pa.string()),
+            TEXT: pa.array([x.decode("utf-8") if gone else whole for x, gone, whole
+                            in zip(kept, removed.tolist(), table.column(TEXT).to_pylist())], pa.string()),
             PAYLOAD: table.column(PAYLOAD),
             "n_words": pa.array(words.counts, pa.int64()),
             "n_removed": pa.array(removed, pa.int64()),
@@ -123,8 +124,9 @@ def remove_repeated_windows(docs: DataFrame, window: int = 35, text: str = "text
     period, so two equal windows share an anchor at the same place in both; around each anchor that
     occurs twice, the windows are extended and compared by 128 bits. Every copy goes, the first too.
 
-    Returns the columns of `docs` with the kept words, joined by one space, as text, and n_words,
-    n_removed, kept_sha256. A null or empty text has no words and comes back empty. Rows are not
+    Returns the columns of `docs`, where a text that loses words is its kept words joined by one space
+    and any other text stays as it is, and n_words, n_removed, kept_sha256 (of the kept words joined by
+    one space, in either case). A null or empty text has no words. Rows are not
     told apart by any column, so repeated ids, rows and nulls are ordinary rows. If `docs` has
     columns named like the new ones, the new ones replace them.
     """
@@ -138,3 +140,22 @@ def remove_repeated_windows(docs: DataFrame, window: int = 35, text: str = "text
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
     result = blocks.with_replies(anchors.union(windows), _removed(window), schema)
     return with_columns(result, docs, text, "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE = """
+WITH words AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS w
+    FROM documents),
+windows AS (
+    SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS passage
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY passage) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS j FROM (SELECT doc_id, i, unnest(range(35)) AS k FROM twice)),
+kept AS (
+    SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.j) AS rest, count(*) AS n
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM words) p
+    LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.j = p.j WHERE g.j IS NULL GROUP BY p.doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""

@@ -266,3 +266,25 @@ def archived_history(pages: DataFrame, payload: str = "html") -> DataFrame:
     path = scratch_path(spark, "archives")
     write_archives(pages, path, payload)
     return merged_index(read_archives(spark, path)).withColumnRenamed("run", "file")
+
+
+ORACLE = """
+WITH payloads AS (
+    SELECT page_id, url, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS digest FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first FROM payloads GROUP BY digest),
+urls AS (
+    SELECT page_id, lower(regexp_replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), '^www[0-9]*\\.', '')) AS host,
+           lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)) AS path,
+           lower(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1)) AS query
+    FROM pages)
+SELECT p.page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((('0x' || substr(digest, (5 * i + 1)::BIGINT, 5))::BIGINT >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN p.page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id > first THEN first END AS refers_to,
+       array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN path = '' THEN '/' ELSE path END
+           || CASE WHEN query = '' THEN '' ELSE '?' || array_to_string(list_sort(string_split(query, '&')), '&') END AS urlkey,
+       strftime(TIMESTAMP '2024-01-01' + to_seconds(p.page_id), '%Y%m%d%H%M%S') AS timestamp
+FROM payloads p JOIN firsts USING (digest) JOIN urls USING (page_id)
+"""
