@@ -7,10 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pricebeam.operators.upsert import DuplicateKeyError, duplicate_keys
+
 
 def snapshot_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keyed difference: the key, `op` (insert, update or delete) and the values; a deleted row
-    shows the values it had."""
+    shows the values it had. A key that one of the snapshots holds twice has no one difference:
+    DuplicateKeyError."""
+    for snapshot in (before, after):
+        _require_unique_keys(snapshot, keys)
     values = [c for c in after.columns if c not in keys]
     old = before.select(*[F.col(c).alias(f"_old_{c}") for c in [*keys, *values]],
                         F.lit(True).alias("_in_old"))
@@ -32,10 +37,23 @@ def snapshot_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -
     )
 
 
+def _require_unique_keys(snapshot: DataFrame, keys: Sequence[str]) -> None:
+    """Here nulls are keys like any other, since the join matches them."""
+    found = duplicate_keys(snapshot, keys).take(1)
+    if found:
+        raise DuplicateKeyError(f"duplicate snapshot key {found[0].asDict()}")
+
+
 def row_changes(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Keyless difference as a bag: rows gained are inserts, rows lost are deletes."""
-    gained = after.exceptAll(before).withColumn("op", F.lit("insert"))
-    return gained.unionByName(before.exceptAll(after).withColumn("op", F.lit("delete")))
+    """Keyless difference as a bag: rows gained are inserts, rows lost are deletes. Each snapshot is
+    read once: copies of a row are counted, those before against those after, in one aggregation."""
+    columns = after.columns
+    both = after.select(*columns, F.lit(1).alias("_n")).unionByName(
+        before.select(*columns, F.lit(-1).alias("_n")))
+    gained = both.groupBy(*columns).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    return gained.select(
+        *columns, F.when(F.col("_n") > 0, "insert").otherwise("delete").alias("op"),
+        F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_copy")).drop("_copy")
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -18,17 +18,16 @@ def moving_average(df: DataFrame, value: str = "value", rows: int = LONG_FRAME_R
     return df.withColumn("moving_average", F.avg(value).over(frame))
 
 
-def return_correlation(df: DataFrame, names: list[str]) -> DataFrame:
-    """Pearson correlation of daily returns for every pair of the named indices, on common dates.
+def return_correlation(df: DataFrame) -> DataFrame:
+    """Pearson correlation of daily returns for every pair of indices, on common dates.
 
-    The returns of a date are laid side by side by one pivot, and all pairs are aggregated in one
-    pass over the dates: no self-join, and no pairs of rows are formed.
+    The indices are those that the data holds. Returns meet on their date, and each pair is one group
+    of a partial aggregation, so the plan is the same for any number of names. The result has
+    n (n - 1) / 2 rows for n indices, and as many pairs of rows meet on a date: for thousands of
+    indices choose those to compare first.
     """
-    by_date = df.groupBy("date").pivot("index_name", names).agg(F.first("daily_return"))
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-    row = by_date.agg(*[
-        F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("index_a"), F.lit(b).alias("index_b"),
-                 F.col(f"c{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)])).alias("p")).select("p.*")
+    returns = df.select("date", "index_name", "daily_return")
+    left = returns.withColumnsRenamed({"index_name": "index_a", "daily_return": "_a"})
+    right = returns.withColumnsRenamed({"index_name": "index_b", "daily_return": "_b"})
+    pairs = left.join(right, "date").filter(F.col("index_a") < F.col("index_b"))
+    return pairs.groupBy("index_a", "index_b").agg(F.corr("_a", "_b").alias("correlation"))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from pricebeam.session import materialize
 
@@ -16,8 +16,6 @@ MAX_ROWS_PER_TASK = 1_000_000
 SLICES_PER_LIMIT = 4
 # Sampled rows expected of a series at the limit, when its size is estimated.
 SAMPLED_AT_LIMIT = 1_000
-# Hot-series keys that may be broadcast; beyond it the join is left to Spark.
-MAX_BROADCAST_KEYS = 100_000
 
 
 def over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], lookback: int,
@@ -30,17 +28,18 @@ def over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], look
     Series within `max_rows` take the plain window. Longer ones are range-partitioned by
     (series, order), so one series spreads over many tasks; each slice then gets the last
     `lookback` rows before it as a halo, which is dropped after the window. No row is lost or cut,
-    and the result equals the plain window's. `order` must be a total order.
+    and the result equals the plain window's: on both ways rows that tie in `order` follow the
+    remaining columns (those that have an order), so that ties fall alike.
     """
     series, order = list(series), list(order)
+    order += [f.name for f in df.schema.fields if f.name not in (*series, *order)
+              and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     hot = _long_series(df, series, max_rows)
     hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if not hot_keys:
         return compute(df, Window.partitionBy(*series).orderBy(*order))
 
     keys = materialize(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in series]), "hot-series")
-    if hot_keys <= MAX_BROADCAST_KEYS:
-        keys = F.broadcast(keys)
     same = _all(F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in series)
     cold_result = compute(df.join(keys, same, "left_anti"),
                           Window.partitionBy(*series).orderBy(*order))
@@ -88,23 +87,32 @@ def _halo_rows(sliced: DataFrame, series: list[str], order: list[str],
                lookback: int) -> DataFrame:
     """The last rows of each slice, addressed to the later slices that look back at them.
 
-    Only slice tails can be looked back at, and the row limit is applied before the shuffle. Among
-    the tails a row is needed by exactly the slices of its next `lookback` rows, which also covers
-    slices shorter than the lookback.
+    Only slice tails can be looked back at, and the row limit is applied before the shuffle. Which
+    slices need a tail follows from the slices' sizes alone, one row per series and slice: a row
+    `k` places from its slice's end is needed by the slices that begin within the next
+    `lookback - k` rows, which also covers slices shorter than the lookback.
     """
+    sizes = sliced.groupBy(*series, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    later = Window.partitionBy(*series).orderBy("_slice").rowsBetween(1, lookback)
+    readers = sizes.select(
+        *[F.col(c).alias(f"_of_{c}") for c in series], F.col("_slice").alias("_of_slice"),
+        F.collect_list(F.struct("_slice", "_size")).over(later).alias("_later"))
+    # Rows between the end of a slice and the beginning of each later one.
+    readers = readers.withColumn("_later", F.transform("_later", lambda x, i: F.struct(
+        x["_slice"].alias("slice"),
+        F.aggregate(F.slice("_later", F.lit(1), i), F.lit(0).cast("long"),
+                    lambda total, y: total + y["_size"]).alias("between"))))
     from_end = Window.partitionBy(*series, "_slice").orderBy(*[F.desc(c) for c in order])
     tails = (
-        sliced.withColumn("_from_end", F.row_number().over(from_end))
-        .filter(F.col("_from_end") <= lookback)
-        .drop("_from_end")
+        sliced.withColumn("_from_end", F.row_number().over(from_end) - 1)
+        .filter(F.col("_from_end") < lookback)
     )
-    following = Window.partitionBy(*series).orderBy(*order).rowsBetween(1, lookback)
-    addressed = tails.withColumn(
-        "_readers", F.array_distinct(F.collect_list("_slice").over(following)))
+    same = _all([*(F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in series),
+                 F.col("_slice") == F.col("_of_slice")])
+    needed = F.filter("_later", lambda x: x["between"] + F.col("_from_end") < lookback)
     return (
-        addressed.withColumn("_reader", F.explode("_readers"))
-        .filter(F.col("_reader") != F.col("_slice"))
-        .withColumn("_slice", F.col("_reader"))
+        tails.join(readers, same)
+        .withColumn("_slice", F.explode(F.transform(needed, lambda x: x["slice"])))
         .withColumn("_halo", F.lit(True))
-        .drop("_reader", "_readers")
+        .select(*sliced.columns, "_halo")
     )

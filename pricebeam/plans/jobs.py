@@ -20,6 +20,8 @@ from pricebeam.operators.rollups import (
 )
 from pricebeam.operators.series import tag_series
 from pricebeam.plans.harmonize import daily_metrics, harmonize, performance_input, with_volatility
+from pricebeam.schemas import FILE_COLUMNS
+from pricebeam.session import discard, written
 from pricebeam.sources.export import export_csv
 from pricebeam.sources.files import pull_series, read_csv_strict
 from pricebeam.sources.tables import (
@@ -41,10 +43,10 @@ class JobResult:
 def ingest(spark: SparkSession, series_path: str, landing_dir: str, start: dt.date,
            as_of: dt.date, names: Mapping[str, str] | DataFrame = schemas.SERIES_NAMES) -> JobResult:
     """Pull all series up to `as_of`, compute returns and land one date-stamped, verified CSV."""
-    pulled = tag_series(pull_series(spark, series_path, F.lit(start), F.lit(as_of)), names,
-                        index_name="index")
-    # One row per day and series bounds the window groups below.
-    series = dedupe_latest(pulled, ["date", "index"], ["value"])
+    pulled = tag_series(pull_series(spark, series_path, F.lit(start), F.lit(as_of), with_origin=True),
+                        names, index_name="index")
+    # One row per day and series, of the newest file, bounds the window groups below.
+    series = dedupe_latest(pulled, ["date", "index"], FILE_COLUMNS).drop(*FILE_COLUMNS)
     returns = with_returns(series, Window.partitionBy("index").orderBy("date"), "value")
     landed = returns.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
     export = export_csv(landed, landing_dir, as_of)
@@ -53,8 +55,9 @@ def ingest(spark: SparkSession, series_path: str, landing_dir: str, start: dt.da
 
 def load_frame(df: DataFrame, layers: Layers, load_id: str) -> JobResult:
     """Append a frame with the staging columns as one load. Rows without a key go to quarantine,
-    since no series can hold them."""
+    since no series can hold them. The frame is computed once and feeds both."""
     stamped = df.withColumn("load_timestamp", F.lit(dt.datetime.now(dt.timezone.utc)))
+    stamped, path = written(stamped, "load")
     keyed = F.col("date").isNotNull() & F.col("index_name").isNotNull()
     append_load(stamped.filter(keyed), layers, schemas.RAW_STAGING, load_id)
     rejected = stamped.filter(~keyed).select(
@@ -62,12 +65,13 @@ def load_frame(df: DataFrame, layers: Layers, load_id: str) -> JobResult:
         F.lit(None).cast("string").alias("line"), F.lit("missing key").alias("reason"),
         "load_timestamp")
     append_load(rejected, layers, schemas.RAW_QUARANTINE, load_id)
+    discard(df.sparkSession, path)
     return JobResult("loaded")
 
 
 def load_strict(spark: SparkSession, layers: Layers, landing_dir: str, load_id: str) -> JobResult:
     """Load all files in a directory; a bad row fails the load and nothing of it is kept."""
-    return load_frame(read_csv_strict(spark, landing_dir), layers, load_id)
+    return load_frame(read_csv_strict(spark, landing_dir, with_origin=True), layers, load_id)
 
 
 def staged_rows(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -79,7 +83,7 @@ def staged_rows(spark: SparkSession, layers: Layers) -> DataFrame:
 def run_harmonization(spark: SparkSession, layers: Layers) -> JobResult:
     """Rebuild both harmonized tables from raw."""
     raw = staged_rows(spark, layers)
-    overwrite_table(harmonize(raw, ("load_timestamp", "load_id")), layers, schemas.HARMONIZED)
+    overwrite_table(harmonize(raw, schemas.NEWEST_BY), layers, schemas.HARMONIZED)
     harmonized = read_table(spark, layers, schemas.HARMONIZED)
     overwrite_table(with_volatility(harmonized), layers, schemas.HARMONIZED_VOLATILITY)
     return JobResult("harmonized")

@@ -22,7 +22,7 @@ from pricebeam.functions import (
 from pricebeam.operators import comparison, rollups
 from pricebeam.operators.changes import row_changes, snapshot_changes
 from pricebeam.operators.dedupe import dedupe_latest
-from pricebeam.operators.series import date_range, tag_series, union_series
+from pricebeam.operators.series import date_range, tag_series, union_series, unlisted_series
 from pricebeam.operators.sliced import over_series
 from pricebeam.operators.upsert import duplicate_keys, upsert
 from pricebeam.plans import views
@@ -486,11 +486,21 @@ def date_range_query(spark, sf_dir):
 
 
 @registered("union_series", """
-SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS index_name,
-  o_totalprice AS index_value, o_orderkey AS seq FROM orders""")
+SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS index_name, o_totalprice AS index_value FROM orders
+UNION ALL SELECT CAST(l_shipdate AS DATE), CAST(l_partkey AS VARCHAR), l_extendedprice FROM lineitem""")
 def union_series_query(spark, sf_dir):
-    ticks = order_ticks(spark, sf_dir)
-    return union_series(ticks.filter(F.col("index_name") == name) for name in PRIORITY_NAMES)
+    """The series of two tables in one frame; each table is scanned once."""
+    parts = part_ticks(spark, sf_dir).select(
+        "date", F.col("index_name").cast("string").alias("index_name"), F.col("value").alias("index_value"))
+    return union_series([order_ticks(spark, sf_dir).select("date", "index_name", "index_value"), parts])
+
+
+@registered("unlisted_series", f"""WITH {P}
+SELECT index_name AS series_id, count(*) AS rows FROM p
+WHERE index_name NOT IN ('1-URGENT', '2-HIGH') GROUP BY ALL""")
+def unlisted_series_query(spark, sf_dir):
+    series = daily_series(spark, sf_dir).drop("seq").withColumnRenamed("index_name", "series_id")
+    return unlisted_series(series, {k: PRIORITY_NAMES[k] for k in ("1-URGENT", "2-HIGH")})
 
 
 @registered("series_tagging", f"""WITH {P}
@@ -644,8 +654,8 @@ SELECT a.index_name AS index_a, b.index_name AS index_b,
   round(corr(a.daily_return, b.daily_return), 6) AS correlation
 FROM pr a JOIN pr b ON a.date = b.date AND a.index_name < b.index_name GROUP BY ALL""")
 def return_correlation(spark, sf_dir):
-    return comparison.return_correlation(
-        raw_series(spark, sf_dir), list(PRIORITY_NAMES)).withColumn("correlation", r6("correlation"))
+    return comparison.return_correlation(raw_series(spark, sf_dir)).withColumn(
+        "correlation", r6("correlation"))
 
 
 @registered("rebased_comparison", f"""WITH {P}

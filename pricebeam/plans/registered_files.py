@@ -31,6 +31,7 @@ from pricebeam.sources.adapters import (
 )
 from pricebeam.sources.export import export_csv
 from pricebeam.sources.files import (
+    FILE_AGE,
     bad_rows,
     classify,
     good_rows,
@@ -38,6 +39,7 @@ from pricebeam.sources.files import (
     read_csv_strict,
     read_csv_text,
     read_json,
+    read_json_text,
 )
 from pricebeam.sources.tables import Layers, create_layers, read_table
 from pricebeam.streaming.refresh import load_raw_data, update_daily_index_metrics
@@ -57,17 +59,19 @@ def _write_lines(lines: DataFrame, path: str) -> None:
 
 
 def _damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The series as CSV lines. By price: the lowest have a bad number, the next too few fields, the
-    next too many, and the highest a null token for the daily return."""
+    """The series as CSV lines. By price: the lowest have a bad number (half of them one that a cast would
+    take), the next a date cut short, the next too few fields, the next too many, and the highest a null
+    token for the daily return."""
     raw = raw_series(spark, sf_dir)
     price = F.col("index_value")
 
     def text(column):
         return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
-    value = F.when(price < 50_000, "bad").otherwise(text("index_value"))
+    value = F.when(price < 10_000, "10.5d").when(price < 30_000, "bad").otherwise(text("index_value"))
+    date = F.when(price.between(30_000, 49_999.995), F.substring(text("date"), 1, 7)).otherwise(text("date"))
     daily = F.when(price >= 400_000, "NULL").otherwise(text("daily_return"))
-    start = F.concat_ws(",", value, text("date"), text("index_name"), daily)
+    start = F.concat_ws(",", value, date, text("index_name"), daily)
     whole = F.concat_ws(",", start, text("monthly_return"))
     line = F.when(price.between(50_000, 100_000), start).when(
         price.between(100_000, 150_000), F.concat(whole, F.lit(",extra"))).otherwise(whole)
@@ -98,8 +102,10 @@ def csv_load_tolerant(spark, sf_dir):
 
 
 @registered("csv_quarantine", f"""WITH {P}
-SELECT strftime(date, '%Y-%m-%d') AS date, index_name,
-  CASE WHEN index_value < 50000 THEN 'index_value' ELSE 'field count' END AS reason
+SELECT CASE WHEN index_value >= 30000 AND index_value < 50000 THEN strftime(date, '%Y-%m')
+    ELSE strftime(date, '%Y-%m-%d') END AS date, index_name,
+  CASE WHEN index_value < 30000 THEN 'index_value' WHEN index_value < 50000 THEN 'date'
+    ELSE 'field count' END AS reason
 FROM pr WHERE index_value <= 150000""")
 def csv_quarantine(spark, sf_dir):
     return bad_rows(_landed_damaged(spark, sf_dir)).select("date", "index_name", "reason")
@@ -119,6 +125,24 @@ def json_load(spark, sf_dir):
     return read_json(spark, path)
 
 
+@registered("json_quarantine", f"""WITH {P}
+SELECT CASE WHEN index_value < 20000 THEN strftime(date, '%Y') WHEN index_value >= 40000 THEN strftime(date, '%Y-%m-%d') END AS date,
+  CASE WHEN index_value < 20000 OR index_value >= 40000 THEN index_name END AS index_name,
+  CASE WHEN index_value < 20000 THEN 'date' WHEN index_value < 40000 THEN 'field count' ELSE 'index_value' END AS reason
+FROM p WHERE index_value < 60000""")
+def json_quarantine(spark, sf_dir):
+    """JSON lines of which the cheapest have a date cut short, the next end too early, and the next have
+    a word for a number; the others are good."""
+    path, price = scratch_path(spark, "json"), F.col("index_value")
+    line = F.to_json(F.struct(
+        F.when(price < 20_000, F.date_format("date", "yyyy")).otherwise(F.date_format("date", "yyyy-MM-dd")).alias("date"),
+        "index_name", F.when(price.between(40_000, 59_999.995), "x").otherwise(price.cast("string")).alias("index_value")))
+    cut = F.when((price >= 20_000) & (price < 40_000), F.substring(line, 1, 20)).otherwise(line)
+    daily_series(spark, sf_dir).select(cut.alias("value")).write.text(path)
+    rows = classify(read_json_text(spark, path), schemas.LANDED_JSON)
+    return bad_rows(rows).select("date", "index_name", "reason")
+
+
 def _write_series_files(spark: SparkSession, sf_dir: str) -> str:
     """One directory of (date, value) files per series."""
     path = scratch_path(spark, "series")
@@ -190,9 +214,13 @@ def _refreshed_in_steps(spark: SparkSession, steps: list[DataFrame]) -> Layers:
 
 @registered("stream_fanout", f"""WITH {P}
 SELECT date, index_name, index_value, round(daily_return, 6) AS daily_return,
-  CAST(date AS TIMESTAMP) AS timestamp, round(monthly_return, 6) AS monthly_return FROM pr""")
+  CAST(date AS TIMESTAMP) AS timestamp, round(monthly_return, 6) AS monthly_return FROM pr
+WHERE date <= DATE '2001-07-31' UNION ALL
+SELECT date, index_name, NULL, NULL, CAST(date AS TIMESTAMP), round(monthly_return, 6) FROM pr
+WHERE date > DATE '2001-07-31'""")
 def stream_fanout(spark, sf_dir):
-    """Both sinks of the refresh hold the same rows: daily metrics joined to harmonized rows."""
+    """Both sinks of the refresh: daily metrics joined to harmonized rows. Only the latter hold days after
+    the refresh's date."""
     raw = raw_series(spark, sf_dir)
     layers = _refreshed_in_steps(spark, [raw.filter(F.year("date") < 2001),
                                          raw.filter(F.year("date") >= 2000)])
@@ -203,16 +231,19 @@ def stream_fanout(spark, sf_dir):
         "date", "index_name", "index_value", r6("daily_return"), "timestamp", r6("monthly_return"))
 
 
-@registered("incremental_equals_full", f"""WITH {P}, {frame_volatility_sql(21, "pr")},
-{weekly_performance_sql()}
+@registered("incremental_equals_full", f"""WITH {P},
+cut AS (SELECT * FROM pr WHERE date <= DATE '2001-07-31'), {frame_volatility_sql(21, "cut")},
+{weekly_performance_sql("cut")}
 SELECT 'daily_performance' AS table_name, date AS day, index_name, index_value AS a,
   round(daily_return, 6) AS b, volatility AS c FROM vol
 UNION ALL SELECT 'weekly_performance', week_start, index_name, round(avg_value, 6),
   round(weekly_return, 6), volatility FROM wp
 UNION ALL SELECT 'weekly_index_metrics', date_trunc('week', date)::DATE, index_name,
-  round(avg(index_value), 6), round(avg(daily_return), 6), NULL FROM pr GROUP BY 2, 3
+  round(avg(index_value), 6), round(avg(daily_return), 6), NULL FROM cut GROUP BY 2, 3
 UNION ALL SELECT 'monthly_index_metrics', date_trunc('month', date)::DATE, index_name,
-  round(max(monthly_return), 6), NULL, NULL FROM pr GROUP BY 2, 3""")
+  round(max(monthly_return), 6), NULL, NULL FROM cut GROUP BY 2, 3
+UNION ALL SELECT 'daily_index_metrics', date, index_name, index_value, round(daily_return, 6), NULL FROM cut
+UNION ALL SELECT 'index_harmonized_with_volatility', date, index_name, index_value, 1.0, 0.0 FROM cut""")
 def incremental_equals_full(spark, sf_dir):
     """Three refreshes; the last one also brings late rows of earlier years (the lowest prices) and
     rows that were landed before."""
@@ -224,10 +255,13 @@ def incremental_equals_full(spark, sf_dir):
         raw.filter(late | (year > 2000) | ((year == 2000) & (F.month("date") == 12))),
     ])
     tables = (schemas.DAILY_PERFORMANCE, schemas.WEEKLY_PERFORMANCE, schemas.WEEKLY_METRICS,
-              schemas.MONTHLY_METRICS)
+              schemas.MONTHLY_METRICS, schemas.DAILY_METRICS, schemas.HARMONIZED_VOLATILITY)
     out = None
     for spec in tables:
         table = read_table(spark, layers, spec)
+        if spec == schemas.HARMONIZED_VOLATILITY:
+            table = table.select(F.col("timestamp").cast("date").alias("timestamp"), "index_name", "value",
+                                 "normalized_value", "volatility")
         values = table.columns[2:] + [None] * (5 - len(table.columns))
         long = table.select(
             F.lit(spec.name).alias("table_name"), F.col(spec.dated_by).alias("day"), "index_name",
@@ -237,6 +271,51 @@ def incremental_equals_full(spark, sf_dir):
     return out
 
 
+@registered("read_between_refreshes", f"""WITH {P}
+SELECT date, index_name, index_value, round(daily_return, 6) AS daily_return,
+  CAST(date AS TIMESTAMP) AS timestamp FROM pr WHERE date <= DATE '2001-07-31'""")
+def read_between_refreshes(spark, sf_dir):
+    """All tables are read after a refresh in the middle of a month, and again after the month's rest."""
+    raw, middle = raw_series(spark, sf_dir), F.lit(dt.date(2001, 7, 16))
+    layers, landing = _fresh_layers(spark), scratch_path(spark, "landing")
+    load, update = scratch_path(spark, "load"), scratch_path(spark, "update")
+    for number, rows in enumerate((raw.filter(F.col("date") < middle), raw.filter(F.col("date") >= middle))):
+        _land(rows, landing, f"step{number}")
+        load_raw_data(spark, layers, f"{landing}/*", load)
+        update_daily_index_metrics(spark, layers, update, AS_OF)
+        for spec in schemas.TABLES:
+            read_table(spark, layers, spec).foreach(lambda row: None)
+    daily = read_table(spark, layers, schemas.DAILY_METRICS)
+    harmonized = read_table(spark, layers, schemas.HARMONIZED).select("timestamp", "index_name")
+    return daily.join(harmonized, (F.col("timestamp").cast("date") == daily["date"])
+                      & (harmonized["index_name"] == daily["index_name"])).select(
+        "date", daily["index_name"], "index_value", r6("daily_return"), "timestamp")
+
+
+@registered("newest_file_wins", f"""WITH {P}
+SELECT date, index_name, index_value - CASE WHEN year(date) = 2000 THEN 1000 ELSE 0 END AS index_value
+FROM p WHERE date <= DATE '2001-07-31'""")
+def newest_file_wins(spark, sf_dir):
+    """A correction to lower prices, landed after the prices but loaded in the same batch."""
+    raw = raw_series(spark, sf_dir)
+    layers, landing = _fresh_layers(spark), scratch_path(spark, "landing")
+    _land(raw, landing, "prices")
+    _land(raw.filter(F.year("date") == 2000).withColumn("index_value", F.col("index_value") - 1000),
+          landing, "correction")
+    load_raw_data(spark, layers, f"{landing}/*", scratch_path(spark, "load"))
+    update_daily_index_metrics(spark, layers, scratch_path(spark, "update"), AS_OF)
+    return read_table(spark, layers, schemas.DAILY_METRICS).select("date", "index_name", "index_value")
+
+
+@registered("json_staged", f"WITH {P} SELECT date, index_name, index_value FROM p0")
+def json_staged(spark, sf_dir):
+    """JSON lines loaded into staging like CSV files."""
+    layers, landing = _fresh_layers(spark), scratch_path(spark, "landing")
+    daily_series_with_gaps(spark, sf_dir).drop("seq").write.json(f"{landing}/first")
+    load_raw_data(spark, layers, f"{landing}/*", scratch_path(spark, "load"), kind="json")
+    return read_table(spark, layers, schemas.RAW_STAGING).select("date", "index_name", "index_value")
+
+
 @registered("end_to_end_weekly", f"""WITH {P},
 q AS (SELECT date, substr(index_name, 3) AS index_name, index_value,
         index_value / lag(index_value) OVER (PARTITION BY index_name ORDER BY date) - 1 AS r
@@ -259,7 +338,8 @@ WHERE week + 7 <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY ALL""")
 def stream_weekly_average(spark, sf_dir):
     """Closed weeks of the event stream."""
     schema = read(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # The pattern matches the table itself, be it one file or a directory of files.
+    events = spark.readStream.schema(schema).option("maxFileAge", FILE_AGE).parquet(f"{sf_dir}/events.parque[t]")
     weekly = weekly_average_stream(event_ticks(events)).withColumn(
         "avg_index_value", r6("avg_index_value"))
     out = scratch_path(spark, "weekly")

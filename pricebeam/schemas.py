@@ -13,7 +13,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 DOUBLE, DATE, STRING = T.DoubleType(), T.DateType(), T.StringType()
 
-# Order of the fields in a landed CSV line; binding is by position, header names are ignored.
+# Order of the fields in a landed CSV line; binding is by position, header names are ignored.
 LANDED_CSV_COLUMNS = ("value", "date", "index", "daily_return", "monthly_return")
 RAW_VALUE_COLUMNS = ("index_value", "date", "index_name", "daily_return", "monthly_return")
 
@@ -24,6 +24,12 @@ RAW_VALUES = _struct(
     ("daily_return", DOUBLE), ("monthly_return", DOUBLE),
 )
 
+# Where a staged row came from: when its file was written, and the file's name. Null for rows that came
+# from no file.
+FILE_COLUMNS = ("file_time", "file_name")
+# Of two staged rows for one key the later in these columns wins: the newer load, then the newer file.
+NEWEST_BY = ("load_timestamp", "load_id", "file_time", "file_name")
+
 # Display name by series id.
 SERIES_NAMES = {
     "NASDAQCOM": "NASDAQ",
@@ -51,7 +57,9 @@ class TableSpec:
 
 RAW_STAGING = TableSpec(
     "raw", "index_staging",
-    T.StructType(RAW_VALUES.fields + [T.StructField("load_timestamp", T.TimestampType())]),
+    T.StructType(RAW_VALUES.fields + [
+        T.StructField("load_timestamp", T.TimestampType()),
+        T.StructField("file_time", T.TimestampType()), T.StructField("file_name", T.StringType())]),
     ("date", "index_name"), None, "load_id",
 )
 RAW_QUARANTINE = TableSpec(

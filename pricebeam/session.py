@@ -67,10 +67,14 @@ def discard(spark: SparkSession, path: str) -> None:
     files.delete(hadoop_path, True)
 
 
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """A copy in the shared folder, for several readers, and its path for `discard`."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back: the plan is cut there, each row is computed
     once, and the copy survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, label)[0]

@@ -53,6 +53,13 @@ def read_table(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFram
     return spark.table(layers.name(spec)).select(*spec.column_names)
 
 
+def refresh_listings(spark: SparkSession, layers: Layers) -> None:
+    """Forget the file listings that this session keeps of the tables. Another session, or a stream's
+    own, may have replaced files since; a read by the old listing would fail."""
+    for spec in schemas.TABLES:
+        spark.catalog.refreshTable(layers.name(spec))
+
+
 def in_months(df: DataFrame, months: list, partition: str = "part_month") -> DataFrame:
     """Rows of the given month partitions, pruned at the scan. None stands for undated rows."""
     tests = []
@@ -120,8 +127,10 @@ def _side_by_side(write: Callable[[TableSpec], None], specs: Iterable[TableSpec]
 
 def append_load(df: DataFrame, layers: Layers, spec: TableSpec, load_id: str) -> None:
     """Add the rows of one load as their own partition. Repeating a load replaces its rows, so a
-    retried batch cannot be counted twice."""
-    rows = df.select(*spec.column_names, F.lit(load_id).alias(spec.partition))
+    retried batch cannot be counted twice. A frame that came from no file may lack the file columns."""
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in spec.columns.fields
+              if f.name in schemas.FILE_COLUMNS and f.name not in df.columns}
+    rows = df.withColumns(absent).select(*spec.column_names, F.lit(load_id).alias(spec.partition))
     _replace(rows, layers.name(spec), "dynamic")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pricebeam import schemas
@@ -13,6 +13,7 @@ from pricebeam.functions.dates import as_of_date, week_start
 from pricebeam.functions.volatility import with_frame_volatility
 from pricebeam.operators.rollups import (
     FRAME_ROWS,
+    LONG_FRAME_ROWS,
     LOOKBACK_DAYS,
     current_month_max_return,
     monthly_max_return,
@@ -21,16 +22,17 @@ from pricebeam.operators.rollups import (
     weekly_averages,
     weekly_performance,
 )
-from pricebeam.plans.harmonize import daily_metrics, harmonize, performance_input
+from pricebeam.plans.harmonize import daily_metrics, harmonize, performance_input, with_volatility
 from pricebeam.plans.jobs import JobResult
-from pricebeam.session import discard, shared_dir
-from pricebeam.sources.files import bad_rows, classify, good_rows, stream_csv_text
+from pricebeam.session import discard, materialize, shared_dir, written
+from pricebeam.sources.files import FILE_AGE, bad_rows, classify, good_rows, stream_text
 from pricebeam.sources.tables import (
     OVERWRITE_MODE,
     Layers,
     append_load,
     in_months,
     read_table,
+    refresh_listings,
     upsert_table,
     upsert_tables,
 )
@@ -55,25 +57,36 @@ def drain(stream: DataFrame, checkpoint: str,
 
 
 def load_raw_data(spark: SparkSession, layers: Layers, landing_dir: str, checkpoint: str,
-                  files_per_batch: int | None = None) -> JobResult:
-    """Load each landed file once: good rows to staging, bad rows to quarantine, one load id per
-    batch. A batch that is repeated after a failure replaces its own load. `files_per_batch` cuts
-    a large first load into several."""
+                  files_per_batch: int | None = None, kind: str = "csv") -> JobResult:
+    """Load each landed file once, whatever its date: good rows to staging, bad rows to quarantine, one
+    load id per batch. A batch that is repeated after a failure replaces its own load.
+    `files_per_batch` cuts a large first load into several; `kind` is csv or json."""
     loaded = {"loads": 0}
+    schema = schemas.LANDED_JSON if kind == "json" else schemas.RAW_VALUES
 
     def process(batch: DataFrame, batch_id: int) -> None:
         stamp = F.lit(dt.datetime.now(dt.timezone.utc)).alias("load_timestamp")
         load_id = batch_token(spark, checkpoint, batch_id)
-        rows = classify(batch)
-        append_load(good_rows(rows).select("*", stamp), layers, schemas.RAW_STAGING, load_id)
-        append_load(bad_rows(rows).select("*", stamp), layers, schemas.RAW_QUARANTINE, load_id)
+        # Each file is parsed once; both sinks read the classified rows.
+        rows, path = written(classify(batch, schema), "classified")
+        good = _with_columns(good_rows(rows, schema, with_origin=True), schemas.RAW_VALUES)
+        bad = _with_columns(bad_rows(rows), schemas.RAW_QUARANTINE.columns, but="load_timestamp")
+        append_load(good.select("*", stamp), layers, schemas.RAW_STAGING, load_id)
+        append_load(bad.select("*", stamp), layers, schemas.RAW_QUARANTINE, load_id)
+        discard(spark, path)
         loaded["loads"] += 1
 
-    stream = stream_csv_text(spark, landing_dir, files_per_batch=files_per_batch)
-    drain(stream, checkpoint, process)
+    drain(stream_text(spark, landing_dir, files_per_batch=files_per_batch, kind=kind), checkpoint, process)
+    refresh_listings(spark, layers)
     return JobResult("loaded" if loaded["loads"] else NO_NEW_DATA, loaded)
 
 
+def _with_columns(df: DataFrame, schema: T.StructType, but: str = "") -> DataFrame:
+    """The frame with those of the schema's columns that it lacks, as nulls."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema.fields
+                           if f.name not in df.columns and f.name != but})
+
+
 def batch_token(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
     """Names one batch of one checkpoint. The query id comes from the checkpoint itself, so a new
     checkpoint at an old place never meets the traces of its predecessor."""
@@ -84,7 +97,8 @@ def batch_token(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
 def staging_stream(spark: SparkSession, layers: Layers) -> DataFrame:
     """Rows appended to the staging table since the reader's checkpoint."""
     spec = schemas.RAW_STAGING
-    return spark.readStream.table(layers.name(spec)).select(*spec.column_names, spec.partition)
+    reader = spark.readStream.option("maxFileAge", FILE_AGE)
+    return reader.table(layers.name(spec)).select(*spec.column_names, spec.partition)
 
 
 def update_daily_index_metrics(spark: SparkSession, layers: Layers, checkpoint: str,
@@ -94,7 +108,8 @@ def update_daily_index_metrics(spark: SparkSession, layers: Layers, checkpoint:
 
     Default mode recomputes exactly what the new rows affect, however old they are. With
     `strict_reference` the three performance upserts use fixed lookbacks before `as_of`: the
-    current month, 30 days and four weeks.
+    current month, 30 days and four weeks. In both, derived tables hold no day after `as_of`: later
+    rows stay in the harmonized table and are derived by the first refresh whose `as_of` reaches them.
     """
     done = {"batches": 0}
 
@@ -106,6 +121,8 @@ def update_daily_index_metrics(spark: SparkSession, layers: Layers, checkpoint:
         done["batches"] += 1
 
     drain(staging_stream(spark, layers), checkpoint, process)
+    # The stream wrote in a session of its own; this one still lists the files before.
+    refresh_listings(spark, layers)
     return JobResult("updated" if done["batches"] else NO_NEW_DATA, done)
 
 
@@ -120,18 +137,40 @@ def apply_batch(batch: DataFrame, layers: Layers, token: str, as_of: Column,
     # The streaming query has this session to itself.
     spark.conf.set(OVERWRITE_MODE, "dynamic")
     staged = f"{shared_dir(spark)}/pricebeam/batches/{token}"
-    harmonize(batch, ("load_timestamp", "load_id")).write.mode("overwrite").parquet(staged)
-    changed = spark.read.schema(schemas.HARMONIZED.columns).parquet(staged)
-    upsert_table(changed, layers, schemas.HARMONIZED, token)
-    refreshed = {schemas.DAILY_METRICS: daily_metrics(changed)}
-    if strict_reference:
-        refreshed |= _fixed_lookback_refresh(spark, layers, as_of)
-    else:
-        refreshed |= _affected_refresh(spark, layers, changed)
-    upsert_tables(refreshed, layers, token)
+    harmonize(batch, schemas.NEWEST_BY).write.mode("overwrite").parquet(staged)
+    arrived = spark.read.schema(schemas.HARMONIZED.columns).parquet(staged)
+    day = F.col("timestamp").cast("date")
+    waiting = _waiting(spark, layers, as_of)
+    upsert_table(arrived, layers, schemas.HARMONIZED, token)
+    # Rows that came earlier, but lay after that refresh's as_of, count as changed, too.
+    changed, path = written(
+        _between(spark.table(layers.name(schemas.HARMONIZED)), waiting, as_of)
+        .select(*schemas.HARMONIZED.column_names)
+        .unionByName(arrived.filter(day <= as_of)).dropDuplicates(["timestamp", "index_name"]), "changed")
+    if not changed.isEmpty():
+        refreshed = {schemas.DAILY_METRICS: daily_metrics(changed)}
+        if strict_reference:
+            refreshed |= _fixed_lookback_refresh(spark, layers, as_of)
+        else:
+            refreshed |= _affected_refresh(spark, layers, changed, as_of)
+        upsert_tables(refreshed, layers, token)
+    discard(spark, path)
     discard(spark, staged)
 
 
+def _waiting(spark: SparkSession, layers: Layers, as_of: Column) -> dt.date | None:
+    """The last day that has been derived; harmonized rows after it wait for `as_of` to pass them."""
+    return read_table(spark, layers, schemas.DAILY_METRICS).agg(F.max("date")).first()[0]
+
+
+def _between(stored: DataFrame, derived: dt.date | None, as_of: Column) -> DataFrame:
+    if derived is None:
+        return stored.filter((F.col("timestamp").cast("date") <= as_of) & (F.col("part_month") <= as_of))
+    since = F.lit(derived)
+    return stored.filter(F.col("timestamp").cast("date").between(F.date_add(since, 1), as_of)
+                         & F.col("part_month").between(F.trunc(since, "month"), as_of))
+
+
 def _fixed_lookback_refresh(spark: SparkSession, layers: Layers,
                             as_of: Column) -> dict[schemas.TableSpec, DataFrame]:
     raw = read_table(spark, layers, schemas.RAW_STAGING)
@@ -146,9 +185,10 @@ def _fixed_lookback_refresh(spark: SparkSession, layers: Layers,
     }
 
 
-def _affected_refresh(spark: SparkSession, layers: Layers,
-                      changed: DataFrame) -> dict[schemas.TableSpec, DataFrame]:
-    stored = spark.table(layers.name(schemas.HARMONIZED))
+def _affected_refresh(spark: SparkSession, layers: Layers, changed: DataFrame,
+                      as_of: Column) -> dict[schemas.TableSpec, DataFrame]:
+    stored = spark.table(layers.name(schemas.HARMONIZED)).filter(
+        (F.col("timestamp").cast("date") <= as_of) & (F.col("part_month") <= as_of))
     days = changed.select(F.col("timestamp").cast("date").alias("date"), "index_name")
     # Calendar lists, not row lists: a batch touches few months however many rows it has.
     months = sorted(r[0] for r in days.select(F.trunc("date", "month")).distinct().collect())
@@ -165,6 +205,7 @@ def _affected_refresh(spark: SparkSession, layers: Layers,
         schemas.WEEKLY_METRICS: weekly_averages(in_weeks, "timestamp", "value"),
         schemas.WEEKLY_PERFORMANCE: weekly_performance(performance_input(in_weeks)),
         schemas.DAILY_PERFORMANCE: affected_daily_performance(stored, days, min(months)),
+        schemas.HARMONIZED_VOLATILITY: affected_volatility(stored, days, min(months)),
     }
 
 
@@ -182,32 +223,53 @@ def affected_daily_performance(stored: DataFrame, changed: DataFrame, first_mont
     """Daily performance of every row whose trailing frame holds a changed row.
 
     `stored` is the harmonized table with its month partition, `changed` the changed (date, index)
-    keys, the first of them in `first_month`. Only changed series are read, and only as far back
-    as each needs for a full frame before its first change; the window then marks and computes in
-    one pass.
+    keys, the first of them in `first_month`.
+    """
+    history = affected_frames(stored, changed, first_month, rows)
+    window = Window.partitionBy("index_name").orderBy("timestamp")
+    computed = with_frame_volatility(history, window, "value", rows).filter("affected")
+    return computed.select(F.col("timestamp").cast("date").alias("date"), "index_name", "value",
+                           "daily_return", "volatility")
+
+
+def affected_volatility(stored: DataFrame, changed: DataFrame, first_month: dt.date,
+                        rows: int = LONG_FRAME_ROWS) -> DataFrame:
+    """Rows of the harmonized table with volatility whose thirty-row frame holds a changed row."""
+    history = affected_frames(stored, changed, first_month, rows)
+    return with_volatility(history).filter("affected").select(
+        *schemas.HARMONIZED_VOLATILITY.column_names)
+
+
+def affected_frames(stored: DataFrame, changed: DataFrame, first_month: dt.date,
+                    rows: int) -> DataFrame:
+    """The rows whose trailing `rows`-row frame holds a changed row (`affected`), and before them the
+    rows that their frames need.
+
+    Only changed series are read, each from a few months before its own first change to a few months
+    after its own last; series that are too sparse for a full frame there are read wholly on that
+    side.
     """
-    first_change = changed.groupBy("index_name").agg(F.min("date").alias("first_change"))
-    history = _whole_frames(stored, first_change, first_month, rows)
-    keyed = changed.select("date", "index_name", F.lit(1).alias("changed"))
-    priced = performance_input(history).join(keyed, ["date", "index_name"], "left")
-    window = Window.partitionBy("index_name").orderBy("date")
-    in_frame = F.max("changed").over(window.rowsBetween(-(rows - 1), 0))
-    computed = with_frame_volatility(priced.withColumn("affected", in_frame), window, "value", rows)
-    return computed.filter(F.col("affected") == 1).select(
-        "date", "index_name", "value", "daily_return", "volatility")
-
-
-def _whole_frames(stored: DataFrame, first_change: DataFrame, first_month: dt.date,
-                  rows: int) -> DataFrame:
-    """Rows of the changed series from a few months back, and all older rows of those series for
-    which that holds less than a frame before their first change."""
-    of_changed = stored.join(first_change, "index_name")
-    since = F.add_months(F.lit(first_month), -READ_BACK_MONTHS)
-    recent = of_changed.filter(F.col("part_month") >= since)
-    before = F.col("timestamp").cast("date") < F.col("first_change")
-    counted = recent.groupBy("index_name").agg(F.count(F.when(before, 1)).alias("n"))
-    short = counted.filter(F.col("n") < rows - 1).select("index_name")
-    if short.isEmpty():
-        return recent
-    older = of_changed.filter(F.col("part_month") < since)
-    return recent.unionByName(older.join(short, "index_name", "left_semi"))
+    bounds = changed.groupBy("index_name").agg(F.min("date").alias("_first"), F.max("date").alias("_last"))
+    of_changed = stored.join(bounds, "index_name")
+    day = F.col("timestamp").cast("date")
+    month = F.col("part_month")
+    low = F.add_months(F.trunc("_first", "month"), -READ_BACK_MONTHS)
+    high = F.add_months(F.trunc("_last", "month"), READ_BACK_MONTHS)
+    pruned = of_changed.filter(month >= F.add_months(F.lit(first_month), -READ_BACK_MONTHS))
+    near = pruned.filter(month.between(low, high))
+    counted = near.groupBy("index_name").agg(
+        F.count(F.when(day < F.col("_first"), 1)).alias("before"),
+        F.count(F.when(day > F.col("_last"), 1)).alias("after"))
+    counted = materialize(counted.filter((F.col("before") < rows - 1) | (F.col("after") < rows - 1)), "sparse")
+    if not counted.isEmpty():
+        older = of_changed.filter(month < low).join(
+            counted.filter(F.col("before") < rows - 1).select("index_name"), "index_name", "left_semi")
+        newer = pruned.filter(month > high).join(
+            counted.filter(F.col("after") < rows - 1).select("index_name"), "index_name", "left_semi")
+        near = near.unionByName(older).unionByName(newer)
+    keyed = changed.select(F.col("date").alias("_day"), F.col("index_name").alias("_index"),
+                           F.lit(True).alias("_changed")).distinct()
+    marked = near.join(keyed, (day == F.col("_day")) & (F.col("index_name") == F.col("_index")), "left")
+    frame = Window.partitionBy("index_name").orderBy("timestamp").rowsBetween(-(rows - 1), 0)
+    return marked.withColumn("affected", F.coalesce(F.max("_changed").over(frame), F.lit(False))).select(
+        *schemas.HARMONIZED.column_names, "affected")

@@ -208,7 +208,7 @@ def test_comparison(spark):
     last = comparison.moving_average(df, rows=2).filter("date = '2024-01-10' AND index_name = 'x'").first()
     assert last.moving_average == 18.5
     pairs = {(r.index_a, r.index_b): r.correlation
-             for r in comparison.return_correlation(df, ["x", "y", "z"]).collect()}
+             for r in comparison.return_correlation(df).collect()}
     joined = df.alias("a").join(df.alias("b"), "date").filter("a.index_name < b.index_name").groupBy(
         "a.index_name", "b.index_name").agg(F.corr("a.daily_return", "b.daily_return")).collect()
     assert len(pairs) == 3

@@ -4,12 +4,12 @@ from types import SimpleNamespace
 
 import pytest
 
-from __spark_entry__ import queries
 from pricebeam.plans import registered_files
+from pricebeam.plans.registered import QUERIES
 from pricebeam.session import discard, scratch_path, shared_dir
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = sorted(n for n, q in queries().items() if q.__module__ != registered_files.__name__)
+BATCH = sorted(n for n, q in QUERIES.items() if q.__module__ != registered_files.__name__)
 
 
 def plan(df):
@@ -18,29 +18,29 @@ def plan(df):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_cross_join_no_python(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas", "InArrow"):
         assert operator not in text
 
 
 @pytest.mark.parametrize("name", ["last_30_days", "last_4_weeks", "date_range"])
 def test_date_filters_reach_the_scan(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     scan = next(line for line in text.splitlines() if "FileScan" in line)
     assert "o_orderdate" in scan.split("DataFilters: ")[1] and "GreaterThanOrEqual" in scan
     assert "o_custkey" not in scan and "o_orderstatus" not in scan
 
 
 def test_copies_of_a_key_are_reduced_before_the_shuffle(spark):
-    text = plan(queries()["dedupe_latest"](spark, SF_DIR))
+    text = plan(QUERIES["dedupe_latest"](spark, SF_DIR))
     assert text.count("Exchange hashpartitioning") == 1
     assert "partial_max" in text.split("Exchange hashpartitioning")[1]
 
 
 def test_weekly_performance_shuffles_once_after_dedupe(spark):
-    text = plan(queries()["weekly_price_arrays"](spark, SF_DIR))
+    text = plan(QUERIES["weekly_price_arrays"](spark, SF_DIR))
     assert text.count("Exchange hashpartitioning") <= 3
-    text = plan(queries()["weekly_performance"](spark, SF_DIR))
+    text = plan(QUERIES["weekly_performance"](spark, SF_DIR))
     assert text.count("Exchange hashpartitioning(week_start") == 1
 
 
