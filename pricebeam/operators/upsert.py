@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 class DuplicateKeyError(ValueError):
@@ -21,6 +22,20 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.unionByName(source.select(*target.columns))
 
 
+def upsert_computed(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same for a source that is costly to compute: it is computed once, and one shuffle by key
+    tells which target rows it replaces. Rows with a null key stay whatever the source has; they are
+    spread by their content, since they equal nothing."""
+    columns = target.columns
+    both = target.select(*columns, F.lit(False).alias("_new")).unionByName(
+        source.select(*columns, F.lit(True).alias("_new")))
+    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    spread = F.when(~complete, F.xxhash64(*columns)).otherwise(F.lit(0))
+    replaced = F.max("_new").over(Window.partitionBy(*keys, "_spread"))
+    return (both.withColumn("_spread", spread).withColumn("_replaced", replaced)
+            .filter(F.col("_new") | ~F.col("_replaced") | ~complete).select(*columns))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)

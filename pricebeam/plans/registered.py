@@ -24,7 +24,7 @@ from pricebeam.operators.changes import row_changes, snapshot_changes
 from pricebeam.operators.dedupe import dedupe_latest
 from pricebeam.operators.series import date_range, tag_series, union_series, unlisted_series
 from pricebeam.operators.sliced import over_series
-from pricebeam.operators.upsert import duplicate_keys, upsert
+from pricebeam.operators.upsert import duplicate_keys, upsert_computed
 from pricebeam.plans import views
 from pricebeam.plans.harmonize import daily_metrics, harmonize, with_volatility
 from pricebeam.sources.adapters import (
@@ -438,7 +438,7 @@ def upsert_monthly(spark, sf_dir):
     raw = raw_series(spark, sf_dir)
     target = rollups.monthly_max_return(raw.filter(_before_snapshot()))
     source = rollups.current_month_max_return(raw, as_of_date(AS_OF))
-    return upsert(target, source, ["month", "index_name"]).withColumn(
+    return upsert_computed(target, source, ["month", "index_name"]).withColumn(
         "monthly_return", r6("monthly_return"))
 
 
@@ -456,7 +456,7 @@ def upsert_daily_performance(spark, sf_dir):
     rows = priced(spark, sf_dir)
     target = rollups.daily_performance(rows.filter(_before_snapshot()))
     source = rollups.recent_daily_performance(rows, as_of_date(AS_OF))
-    return _rounded_daily_performance(upsert(target, source, ["date", "index_name"]))
+    return _rounded_daily_performance(upsert_computed(target, source, ["date", "index_name"]))
 
 
 @registered("upsert_weekly_performance", f"""WITH {P},
@@ -473,7 +473,7 @@ def upsert_weekly_performance(spark, sf_dir):
     rows = priced(spark, sf_dir)
     target = rollups.weekly_performance(rows.filter(_before_snapshot()))
     source = rollups.recent_weekly_performance(rows, as_of_date(AS_OF))
-    return _rounded_weekly_performance(upsert(target, source, ["week_start", "index_name"]))
+    return _rounded_weekly_performance(upsert_computed(target, source, ["week_start", "index_name"]))
 
 
 # --- filters, unions, tags, changes, checks ------------------------------------------------------

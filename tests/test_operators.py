@@ -11,7 +11,7 @@ from pricebeam.operators.changes import row_changes, snapshot_changes
 from pricebeam.operators.dedupe import dedupe_latest
 from pricebeam.operators.series import date_range, tag_series, union_series
 from pricebeam.operators.sliced import over_series
-from pricebeam.operators.upsert import DuplicateKeyError, duplicate_keys, require_unique, upsert
+from pricebeam.operators.upsert import DuplicateKeyError, duplicate_keys, require_unique, upsert, upsert_computed
 
 D = dt.date
 
@@ -165,6 +165,7 @@ def test_upsert(spark):
     source = spark.createDataFrame([("B", 1, 20), ("D", 1, 4), (None, 1, 9)], "k string, n int, v int")
     assert rows_of(upsert(target, source, ["k", "n"])) == sorted(
         [("A", 1, 1), ("B", 1, 20), ("C", 1, 3), ("D", 1, 4), (None, 1, 9)], key=repr)
+    assert rows_of(upsert_computed(target, source, ["k", "n"])) == rows_of(upsert(target, source, ["k", "n"]))
     again = upsert(upsert(target, source.dropna(), ["k", "n"]), source.dropna(), ["k", "n"])
     assert again.count() == 4
 

@@ -73,3 +73,9 @@ def test_discard_only_removes_scratch(spark, tmp_path):
     discard(spark, path)
     with pytest.raises(Exception):
         spark.read.parquet(path).count()
+
+
+def test_upserts_compute_their_source_once(spark):
+    text = plan(QUERIES["upsert_daily_performance"](spark, SF_DIR))
+    assert text.count("FileScan") <= 2
+    assert text.count("Exchange hashpartitioning") <= 5 and "Join" not in text
