@@ -135,13 +135,14 @@ def append_load(df: DataFrame, layers: Layers, spec: TableSpec, load_id: str) ->
 
 
 def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
-                 token: str | None = None) -> None:
+                 token: str | None = None, unique: bool = False) -> None:
     """Upsert into the month partitions that the source touches; the others are not read or written.
 
     Source and merged rows are first written to the shared folder under `token`, which names this
     one change. When a run dies while partitions are being replaced, a rerun with the same token
     finds the merged rows complete and only replaces again, so no row of a half-replaced month is
-    lost. Only the list of months reaches the driver.
+    lost. Only the list of months reaches the driver. With `unique` the caller asserts that no key is
+    in the source twice, as after an aggregation by key, which spares the shuffle that checks it.
     """
     spark = source.sparkSession
     stage = f"{shared_dir(spark)}/pricebeam/upserts/{layers.name(spec)}/{token or uuid.uuid4().hex}"
@@ -151,7 +152,7 @@ def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
         keyed = source.select(*spec.column_names, month_of(spec).alias(spec.partition))
         keyed.write.mode("overwrite").parquet(f"{stage}/source")
         staged = spark.read.schema(keyed.schema).parquet(f"{stage}/source")
-        months = _touched_months(staged, spec)
+        months = _months(staged, spec) if unique else _touched_months(staged, spec)
         if not months:
             discard(spark, stage)
             return
@@ -164,12 +165,16 @@ def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
 
 
 def upsert_tables(sources: Mapping[TableSpec, DataFrame], layers: Layers, token: str) -> None:
-    """Upsert into several tables that do not read each other. The session must be in dynamic
-    overwrite mode already, so that no writer has to change it under the others."""
+    """Upsert into several tables that do not read each other, from sources aggregated by key. The session
+    must be in dynamic overwrite mode already, so that no writer has to change it under the others."""
     for frame in sources.values():
         if frame.sparkSession.conf.get(OVERWRITE_MODE).lower() != "dynamic":
             raise ValueError(f"set {OVERWRITE_MODE} to dynamic first")
-    _side_by_side(lambda spec: upsert_table(sources[spec], layers, spec, token), sources)
+    _side_by_side(lambda spec: upsert_table(sources[spec], layers, spec, token, unique=True), sources)
+
+
+def _months(staged: DataFrame, spec: TableSpec) -> list:
+    return [x[0] for x in staged.select(spec.partition).distinct().collect()]
 
 
 def _touched_months(staged: DataFrame, spec: TableSpec) -> list:

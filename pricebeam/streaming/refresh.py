@@ -141,7 +141,7 @@ def apply_batch(batch: DataFrame, layers: Layers, token: str, as_of: Column,
     arrived = spark.read.schema(schemas.HARMONIZED.columns).parquet(staged)
     day = F.col("timestamp").cast("date")
     waiting = _waiting(spark, layers, as_of)
-    upsert_table(arrived, layers, schemas.HARMONIZED, token)
+    upsert_table(arrived, layers, schemas.HARMONIZED, token, unique=True)
     # Rows that came earlier, but lay after that refresh's as_of, count as changed, too.
     changed, path = written(
         _between(spark.table(layers.name(schemas.HARMONIZED)), waiting, as_of)
