@@ -84,7 +84,8 @@ class _Runs:
         self.first = at[first]
         self.last = at[np.append(first[1:], len(at)) - 1]
         self.at = chosen[first]
-        self.gram = gram[self.at]
+        # Chosen hashes are small numbers; scrambled again they spread evenly over the buckets.
+        self.gram = mixed(gram[self.at])
         del words, gram, ranked, chosen, valid
         self.hash = RangeHash(random_table(256, 3)[self.data])
         self.segment = self.hash.of(self.first, self.last + window)
