@@ -103,16 +103,15 @@ def _count(table: pa.Table) -> pa.Table:
     })
 
 
-def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, a, b, c) of the buckets' sums (ending, tokens, distinct) and lists (token, count, ending)."""
-    for batch in batches:
-        rows = [np.zeros((0, 4), np.int64)]
-        for kind, reply in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            x = np.frombuffer(reply, np.int64)
-            x = np.stack([np.arange(ENDINGS), x[:ENDINGS], x[ENDINGS:]], axis=1) if kind == 1 else x.reshape(-1, 3)
-            rows.append(np.concatenate([np.full((len(x), 1), kind), x], axis=1))
-        rows = np.concatenate(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(4)], names=["kind", "a", "b", "c"])
+def _merged(table: pa.Table) -> pa.Table:
+    """Several buckets' sums by ending, and lists of most frequent tokens, as one of each."""
+    kinds, replies = table.column("kind").to_pylist(), table.column("reply").to_pylist()
+    sums = sum((np.frombuffer(x, np.int64) for x, k in zip(replies, kinds) if k == 1), np.zeros(ENDINGS * 2, np.int64))
+    tokens = np.concatenate([np.zeros((0, 3), np.int64),
+                             *(np.frombuffer(x, np.int64).reshape(-1, 3) for x, k in zip(replies, kinds) if k == 2)])
+    top = np.lexsort((np.ascontiguousarray(tokens[:, 0]).view(np.uint64), -tokens[:, 1]))[:FREQUENT]
+    return pa.table({"part": pa.array([0, 0], pa.int64()), "kind": pa.array([1, 2], pa.int32()),
+                     "reply": pa.array([sums.tobytes(), tokens[top].tobytes()], pa.binary())})
 
 
 @dataclass
@@ -136,21 +135,22 @@ class Vocabulary:
         return np.where(self.keys[at] == tokens.keys, at, len(self.keys) + tokens.ending)
 
 
-def _vocabulary(counts: DataFrame) -> Vocabulary:
-    numbers = (counts.filter("block = -1").select("kind", "reply")
-               .mapInArrow(_numbers, "kind long, a long, b long, c long"))
-    sums = numbers.filter("kind = 1").groupBy("a").agg(F.sum("b").alias("b"), F.sum("c").alias("c")).collect()
-    top = numbers.filter("kind = 2").orderBy(F.desc("b"), "a").limit(FREQUENT).collect()
-    tokens, distinct = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
-    for x in sums:
-        tokens[x["a"]], distinct[x["a"]] = x["b"], x["c"]
+def _vocabulary(counts: DataFrame, buckets: int) -> Vocabulary:
+    """Buckets' summaries are merged in groups, then over the groups; one row of fixed size is collected."""
+    schema = "part long, kind int, reply binary"
+    parts = counts.filter("block = -1").select(F.pmod("bucket", F.lit(math.isqrt(buckets))).alias("part"), "kind", "reply")
+    once = parts.groupBy("part").applyInArrow(_merged, schema)
+    rows = {x["kind"]: np.frombuffer(x["reply"], np.int64)
+            for x in once.groupBy(F.lit(0).alias("g")).applyInArrow(_merged, schema).collect()}
+    sums = rows.get(1, np.zeros(ENDINGS * 2, np.int64))
+    top = rows.get(2, np.zeros(0, np.int64)).reshape(-1, 3)
+    tokens, distinct = sums[:ENDINGS].copy(), sums[ENDINGS:].copy()
     total, size = int(tokens.sum()), int(distinct.sum())
-    for x in top:
-        tokens[x["c"]] -= x["b"]
-        distinct[x["c"]] -= 1
-    keys = np.array([x["a"] for x in top], np.int64).view(np.uint64)
+    np.subtract.at(tokens, top[:, 2], top[:, 1])
+    np.subtract.at(distinct, top[:, 2], 1)
+    keys = np.ascontiguousarray(top[:, 0]).view(np.uint64)
     order = np.argsort(keys)
-    own = np.array([x["b"] for x in top], np.int64)[order]
+    own = top[order, 1]
     return Vocabulary(keys[order], np.concatenate([own, tokens]), np.concatenate([np.ones(len(top), np.int64), distinct]),
                       total, size)
 
@@ -315,7 +315,7 @@ def score_texts(docs: DataFrame, fold: int = 1, text: str = "text", key: str = "
     blocks = Blocks(docs.withColumn("__key", F.col(f"`{key}`").cast("string")), text)
     asks = blocks.each(_ask(fold, blocks.buckets), ASK_SCHEMA)
     counts = materialize(asks.groupBy("bucket").applyInArrow(_count, REPLY_SCHEMA), "counts")
-    vocabulary = _vocabulary(counts)
+    vocabulary = _vocabulary(counts, blocks.buckets)
     model = Model.initial(vocabulary)
     for _ in range(ROUNDS if vocabulary.total else 0):
         model = _trained(blocks, vocabulary, model, fold)
