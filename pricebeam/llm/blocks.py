@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,6 +108,17 @@ class Blocks:
         return self.table.groupBy(BLOCK).cogroup(replies.groupBy(BLOCK)).applyInArrow(one, schema)
 
 
+    def keeping(self, rows: DataFrame) -> DataFrame:
+        """(text, payload) of the rows that `rows` (block, row) lists. Only the lists are shuffled."""
+        def one(table: pa.Table, kept: pa.Table) -> pa.Table:
+            wanted = pc.is_in(table.column(ROW), value_set=kept.column(ROW).combine_chunks())
+            return table.filter(wanted).select([TEXT, PAYLOAD])
+
+        schema = T.StructType([self.schema[TEXT], self.schema[PAYLOAD]])
+        return (self.table.groupBy(BLOCK).cogroup(rows.select(BLOCK, ROW).groupBy(BLOCK))
+                .applyInArrow(one, schema))
+
+
 def in_order(table: pa.Table) -> pa.Table:
     return table.sort_by(ROW).combine_chunks()
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricebeam.llm.blocks import PAYLOAD, TEXT, packed, with_columns
+from pricebeam.llm.blocks import BLOCK, PAYLOAD, ROW, TEXT, Blocks, packed, with_columns
 from pricebeam.llm.components import connected
 from pricebeam.session import materialize
 
@@ -253,13 +253,12 @@ def simhash_components(docs: DataFrame, shingle: int = 4, distance: int = 4, tex
 def one_of_each_group(docs: DataFrame, shingle: int = 4, distance: int = 4, text: str = "text",
                       key: str = "doc_id") -> DataFrame:
     """The rows of `docs`, one for each group of `simhash_components`: that with the smallest key (null
-    keys last; of rows with that key, one). Texts are written once and meet only the rows to keep."""
-    thin = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
-                       F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text"))
-    rows = materialize(with_fingerprints(thin, shingle, "__text").drop("__text")
-                       .withColumn("__row", F.monotonically_increasing_id()), "fingerprints")
-    place = F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("key"), F.col("__row").alias("row"))
-    kept = (near_groups(rows.select(place.alias("place"), "fingerprint"), distance, key="place")
-            .filter("place = component_id").select(F.col("place.row").alias("__row")))
-    return (rows.join(materialize(kept, "kept"), "__row", "left_semi")
-            .select(*[F.col(f"__doc.`{c}`").alias(c) for c in docs.columns]))
+    keys last; of rows with that key, one). Texts are written once, in blocks; only fingerprints and
+    the numbers of the rows to keep are shuffled."""
+    blocks = Blocks(docs.withColumn("__key", F.col(f"`{key}`")), text)
+    own = blocks.table.select(BLOCK, ROW, F.col(PAYLOAD)["__key"].alias("__key"), F.col(TEXT).alias("__text"))
+    prints = materialize(with_fingerprints(own, shingle, "__text").drop("__text"), "fingerprints")
+    place = F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("key"), BLOCK, ROW)
+    kept = (near_groups(prints.select(place.alias("place"), "fingerprint"), distance, key="place")
+            .filter("place = component_id").select(f"place.{BLOCK}", f"place.{ROW}"))
+    return with_columns(blocks.keeping(materialize(kept, "kept")), docs, text)
