@@ -52,6 +52,16 @@ def _number_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             names=[BLOCK, ROW, TEXT, PAYLOAD])
 
 
+def sliced(batches: Iterator[pa.RecordBatch], text: int = 0, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `most` bytes of text, so that what a task makes of one batch stays
+    small. `text` is the number of the text column."""
+    for batch in batches:
+        sizes = np.cumsum(np.diff(_offsets(batch.column(text))))
+        cuts = [0, *(np.flatnonzero(np.diff(sizes // most)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a)
+
+
 def _offsets(column: pa.Array) -> np.ndarray:
     from pricebeam.llm.textarrays import column_bytes
 

@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from pricebeam.llm.blocks import PAYLOAD, TEXT, packed, with_columns
+from pricebeam.llm.blocks import PAYLOAD, TEXT, packed, sliced, with_columns
 
 #: SentencePiece's mark for a space (fixed value).
 MARK = "▁"
@@ -23,7 +23,7 @@ UNKNOWN_PENALTY = 10.0
 #: Scores are whole multiples of this, so sums are exact in any order and in 32 bits.
 GRID = 1 / 1024
 #: Words whose pieces a Python worker keeps; the memory is emptied when it is full.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 
 def rank_scores(scores: list[float]) -> list[float]:
@@ -166,7 +166,7 @@ def encode_pieces(docs: DataFrame, model: str, scores: str = "model", text: str
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model, scores)
-        for batch in batches:
+        for batch in sliced(batches):
             parts = [pieces.encode(x) if x else np.zeros(0, np.int32) for x in batch.column(0).to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)])
             flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricebeam.llm.blocks import BLOCK, PAYLOAD, ROW, TEXT, Blocks, packed, with_columns
+from pricebeam.llm.blocks import BLOCK, PAYLOAD, ROW, TEXT, Blocks, packed, sliced, with_columns
 from pricebeam.llm.components import connected
 from pricebeam.session import materialize
 
@@ -50,7 +50,7 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 def with_fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text") -> DataFrame:
     """The columns of `docs` and fingerprint (long)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             prints = np.array([fingerprint(x, shingle) for x in batch.column(0).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))],
                                              names=[TEXT, PAYLOAD, "fingerprint"])

@@ -13,14 +13,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from pricebeam.llm.blocks import PAYLOAD, TEXT, packed, with_columns
+from pricebeam.llm.blocks import PAYLOAD, TEXT, packed, sliced, with_columns
 
 #: The byte-level pre-tokenizer's pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of text that are split before their new pre-tokens are merged together.
 CHUNK = 1 << 20
 #: Pre-tokens whose counts a Python worker keeps; the memory is emptied when it is full.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -199,7 +199,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, text: str =
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = merge_table(vocabulary)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = ["" if x is None else x for x in batch.column(0).to_pylist()]
             tokens = table.counts(texts)
             yield pa.RecordBatch.from_arrays(
