@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from pricebeam.llm.blocks import (
-    ASK_SCHEMA, BLOCK, PAYLOAD, REPLY_SCHEMA, TEXT, Blocks, Distinct, asked, compare, edges, replies_of,
-    with_columns,
+    ASK_SCHEMA, BLOCK, PAYLOAD, REPLY_SCHEMA, TEXT, Blocks, Distinct, asked, compare, edges,
+    occurs_elsewhere, replies_of, with_columns,
 )
 from pricebeam.llm.textarrays import RangeHash, column_bytes, marked, mixed, random_table
 from pricebeam.session import materialize
@@ -20,10 +20,10 @@ from pricebeam.session import materialize
 GRAM = 16
 #: Bytes that multikey quicksort orders before blind tries take over.
 SHALLOW = 24
-#: Reply bits: the whole segment occurs elsewhere; this block stands for it; its gram is in too many
-#: different segments.
+#: Reply bits: the whole segment (piece) occurs elsewhere; this block stands for it; its gram (core) is in
+#: too many different ones.
 REPEATED, SEND, HOT = 1, 2, 4
-#: Different segments of a gram beyond which they are told apart by more than the gram.
+#: Different segments of a gram, and pieces of a core, beyond which they are told apart by more than that.
 HOT_SEGMENTS = 500
 #: Window starts of a piece: a hot segment is cut where the distance to its gram is a multiple of this.
 PIECE = 24
@@ -90,6 +90,11 @@ class _Runs:
         self.hash = RangeHash(random_table(256, 3)[self.data])
         self.segment = self.hash.of(self.first, self.last + window)
 
+    def window_hashes(self, starts: np.ndarray, window: int) -> Distinct:
+        """128 bits for each window: two hashes over independent random numbers of the bytes."""
+        second = RangeHash(random_table(256, 7)[self.data])
+        return Distinct(self.hash.of(starts, starts + window), second.of(starts, starts + window))
+
     def pieces(self, which: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Runs `which` cut into pieces: (index into `which`, first and last window start, hash of the
         core, hash of all bytes). Windows of a piece are at similar distances from the gram, so all of
@@ -140,6 +145,34 @@ def _hot_pieces(table: pa.Table, answers: pa.Table, window: int, runs: _Runs | N
     return begin, end, distinct.inverse, distinct, many.astype(np.uint8), runs
 
 
+def _ask_windows(window: int, buckets: int):
+    """The single windows of the pieces of hot cores, each asked for by the block that stands for its piece."""
+    def work(table: pa.Table, answers: pa.Table) -> pa.Table:
+        found = _hot_windows(table, answers, window)
+        if found is None:
+            return NOTHING_ASKED
+        _, distinct, many = found
+        return asked(table.column(BLOCK)[0].as_py(), distinct, many, buckets)
+    return work
+
+
+def _hot_windows(table: pa.Table, answers: pa.Table, window: int, runs: _Runs | None = None, pieces=None):
+    """(starts of the windows, their distinct keys, whether one of its copies is sure to occur elsewhere);
+    None if the block stands for no hot piece."""
+    reply = replies_of(answers, 2, "u1") if answers.num_rows else np.zeros(0, np.uint8)
+    hot = np.flatnonzero((reply & (HOT | SEND)) == HOT | SEND)
+    if not len(hot):
+        return None
+    begin, end, _, distinct, _, runs = pieces or _hot_pieces(table, answers, window, runs)
+    piece = distinct.first[hot]
+    sizes = end[piece] - begin[piece] + 1
+    starts = np.repeat(begin[piece] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    windows = runs.window_hashes(starts, window)
+    sure = np.repeat(reply[hot] & REPEATED > 0, sizes)
+    many = np.bincount(windows.inverse, weights=sure, minlength=len(windows.first)) + windows.counts > 1
+    return starts, windows, many.astype(np.uint8)
+
+
 def _judge(hot_segments: int):
     """Segments that occur twice are covered as they are. If a gram has different segments, the first
     sender of each is asked for its bytes; copies are never sent twice."""
@@ -160,7 +193,8 @@ NOTHING_ASKED = pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array(
 
 
 def _send(window: int, buckets: int):
-    """Bytes of the segments that have to be compared, and of the pieces of hot ones."""
+    """Bytes of the segments that have to be compared, and of the pieces of hot ones. Neither hot segments nor
+    hot pieces are sent."""
     def work(table: pa.Table, answers: pa.Table) -> pa.Table:
         out = {k: [] for k in ("bucket", "block", "grams", "starts", "lengths", "sure", "data")}
         if table.num_rows and answers.num_rows:
@@ -174,7 +208,7 @@ def _send(window: int, buckets: int):
             if pieces is not None:
                 begin, end, _, distinct, _, _ = pieces
                 reply = replies_of(answers, 2, "u1")
-                chosen = np.flatnonzero(reply & SEND)
+                chosen = np.flatnonzero((reply & (HOT | SEND)) == SEND)
                 piece = distinct.first[chosen]
                 parts.append((distinct.keys[0][chosen], begin[piece], end[piece] + window, reply[chosen] & REPEATED))
             keys, starts, ends, sure = (np.concatenate(x) for x in zip(*parts))
@@ -361,6 +395,11 @@ def _cut(window: int):
                 begin, end, inverse, _, _, _ = pieces
                 whole = replies_of(answers, 2, "u1")[inverse] & REPEATED > 0
                 gone |= marked(begin[whole], end[whole] + window, n)
+                windows = _hot_windows(table, answers, window, runs, pieces)
+                if windows is not None:
+                    starts, distinct, _ = windows
+                    twice = starts[replies_of(answers, 3, "u1")[distinct.inverse] > 0]
+                    gone |= marked(twice, twice + window, n)
             at = replies_of(answers, 1, "i8")
             gone |= marked(at, at + window, n)
         inner = np.zeros(n + 1, bool)
@@ -402,7 +441,8 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 200, text: str = "text"
     covered at once; runs of one gram that differ send their bytes, one copy each, to the bucket of
     the gram, where all their suffixes are sorted and equal neighbours found. A gram in very many
     different runs (a passage that many texts share) is not one group: its runs are cut into pieces
-    that are judged again by most of their bytes, and only pieces that share these meet.
+    that are judged again by most of their bytes, and only pieces that share these meet. If very many
+    different pieces share these, too, their single windows are compared by 128 bits.
 
     Returns the columns of `docs` with the text that is left (a character of which only some bytes are
     left goes too), n_bytes, n_removed, n_spans, spans (start and end byte), and kept_sha256 over the
@@ -415,6 +455,8 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 200, text: str = "text"
     judged = materialize(compare(blocks.each(_ask(window, blocks.buckets), ASK_SCHEMA), _judge(hot_segments), 2, "u1"), "judged")
     asks = blocks.with_replies(judged, _ask_pieces(window, blocks.buckets), ASK_SCHEMA)
     judged = judged.union(materialize(compare(asks, _judge(hot_segments), 2, "u1", kind=2), "judged"))
+    asks = blocks.with_replies(judged, _ask_windows(window, blocks.buckets), ASK_SCHEMA)
+    windows = materialize(compare(asks, occurs_elsewhere, 2, "u1", kind=3), "windows")
     segments = blocks.with_replies(judged, _send(window, blocks.buckets), SEGMENT_SCHEMA)
     sorted_windows = materialize(segments.groupBy("bucket").applyInArrow(_sort(window, sorted_at_once), REPLY_SCHEMA), "sorted")
     new = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(),
@@ -423,5 +465,5 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 200, text: str = "text"
            "kept_sha256": T.StringType()}
     schema = T.StructType([T.StructField(TEXT, T.StringType()), blocks.schema[PAYLOAD],
                            *[T.StructField(k, v) for k, v in new.items()]])
-    result = blocks.with_replies(judged.union(sorted_windows), _cut(window), schema)
+    result = blocks.with_replies(judged.union(windows).union(sorted_windows), _cut(window), schema)
     return with_columns(result, docs, text, *new)
