@@ -166,26 +166,52 @@ def container_scores(blocks: list[tuple[tuple[str, ...], bool, str, int]]) -> di
     return scores
 
 
+def climbed(blocks: list[tuple[tuple[str, ...], bool, str, int]], container: str) -> str:
+    """The outermost section around `container` that adds only text with few links to it, step by step: a
+    title, a lead or further parts of the article beside its largest part. Sections that lie side by side
+    in the body itself are different things, so the body adds only what is in none of them."""
+    steps = tuple(container.split("/"))
+    best = size = len(steps)
+    kept = [(path, len(text), linked) for path, dropped, text, linked in blocks if not dropped]
+    for i in range(size - 1, 0, -1):
+        tag = steps[i - 1].partition(".")[0]
+        if tag not in SECTIONS:
+            continue
+        extra = [x for x in kept if x[0][:i] == steps[:i] and x[0][:best] != steps[:best]]
+        if 3 * sum(x[2] for x in extra) > sum(x[1] for x in extra):
+            break
+        if tag == "body" and any(step.partition(".")[0] in SECTIONS for x in extra for step in x[0][i:]):
+            break
+        if extra:
+            best = i
+    return "/".join(steps[:best])
+
+
+def _best(blocks: list[tuple[tuple[str, ...], bool, str, int]]) -> tuple[str, float] | None:
+    scores = container_scores(blocks)
+    if not scores:
+        return None
+    path, score = max(scores.items(), key=lambda x: (x[1], x[0]))
+    return climbed(blocks, path), score
+
+
 def best_container(page: str) -> tuple[str, float] | None:
-    scores = container_scores(blocks_of(page))
-    return max(scores.items(), key=lambda x: (x[1], x[0])) if scores else None
+    return _best(blocks_of(page))
 
 
 def main_text(page: str | None, wanted: str | None = None) -> str:
-    """Text of the container at path `wanted`, or of the page's best one if the page lacks that path."""
+    """Text of the container at path `wanted`, or of the page's best one if the page lacks that path, and of
+    the sections around it that belong to it."""
     blocks = blocks_of(page or "")
 
     def within(container: str) -> list[str]:
         steps = tuple(container.split("/"))
         return [text for path, dropped, text, _ in blocks if not dropped and path[: len(steps)] == steps]
 
-    found = within(wanted) if wanted else []
+    found = within(wanted) and within(climbed(blocks, wanted)) if wanted else []
     if not found:
-        scores = container_scores(blocks)
-        if scores:
-            found = within(max(scores.items(), key=lambda x: (x[1], x[0]))[0])
-        else:
-            found = [text for _, dropped, text, _ in blocks if not dropped]
+        best = _best(blocks)
+        found = within(best[0]) if best else [text for _, dropped, text, _ in blocks if not dropped]
     return "\n\n".join(found)
 
 
@@ -214,8 +240,8 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 def extract_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """The columns of `pages`, text and n_chars (code points).
 
-    Two passes: each page votes for the path of its best container; then every page is cut again along
-    the path that won at its host, if at least half of the host's pages chose it; pages without that
+    Two passes: each page votes for the path of its best container, with the sections around it that add
+    only text with few links; then every page is cut again, in the same way, along the path that won at its host, if at least half of the host's pages chose it; pages without that
     path, and hosts without agreement, use the page's own best container. Blocks are joined in page
     order by an empty line. Null and empty pages have an empty text. The host of a null or odd url is
     empty. Rows are not told apart by any column; new columns replace those of the same names.
