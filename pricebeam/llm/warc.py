@@ -17,8 +17,14 @@ from pricebeam.session import materialize, scratch_path
 
 #: The date given to pages that come without one: this instant plus page_id seconds.
 FIRST_DATE = "2024-01-01 00:00:00"
-#: Records of an archive file, so that a file fits in memory when it is read.
+#: Records of an archive file at most.
 RECORDS_PER_FILE = 2048
+#: Bytes of an archive file at most, so that it fits in memory when it is read. A larger record is alone in its file.
+FILE_BYTES = 32 << 20
+#: Larger pages are written to files of fewer records: as many as fit if all are as large as any of them can be.
+FILE_RECORDS = (RECORDS_PER_FILE, 64, 4, 1)
+#: Bytes of a record's header fields beside its URL, at most.
+HEADER_BYTES = 1024
 #: Captures that one task merges.
 CAPTURES_PER_RANGE = 200_000
 
@@ -82,9 +88,21 @@ def record() -> Column:
 
 def write_archives(pages: DataFrame, path: str, payload: str = "html") -> None:
     """One record per row, in uncompressed WARC 1.1 files below `path` on any file system of Spark's.
-    Of equal payloads the smallest page_id is written as response, the others as revisits."""
-    (with_roles(pages, payload).select(record().alias("value")).write
-     .option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+    Of equal payloads the smallest page_id is written as response, the others as revisits. Pages are written
+    by size, each size with as many records to a file as FILE_BYTES hold."""
+    def size(url: str, body: str) -> Column:  # of a record, at most: a line end in a URL becomes three bytes
+        return (F.lit(HEADER_BYTES) + 3 * F.octet_length(F.coalesce(F.col(url).cast("string"), F.lit(""))).cast("long")
+                + F.octet_length(F.coalesce(F.col(body).cast("string"), F.lit(""))))
+
+    def group(bytes_: Column) -> Column:
+        return sum((F.when(bytes_ > FILE_BYTES // n, 1).otherwise(0) for n in FILE_RECORDS[:-1]), F.lit(0))
+
+    used = sorted(x[0] for x in pages.select(group(size("url", payload)).alias("g")).distinct().collect())
+    rows = with_roles(pages, payload)
+    for g in used or [0]:
+        part = rows.filter(group(size("url", "body")) == g) if len(used) > 1 else rows
+        (part.select(record().alias("value")).write.mode("errorifexists" if g == (used or [0])[0] else "append")
+         .option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", min(FILE_RECORDS[g], RECORDS_PER_FILE)).text(path))
 
 
 def url_key(url: str) -> str:
