@@ -7,15 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricebeam.llm import quality, substrings, warc
+from pricebeam.llm import lexical, quality, substrings, warc
 from pricebeam.llm.bilinear import score_texts
 from pricebeam.llm.decontaminate import overlaps
+from pricebeam.llm.descent import nearest
 from pricebeam.llm.html_text import extract_text
+from pricebeam.llm.lexical import ranked_search
 from pricebeam.llm.pieces import encode_pieces
 from pricebeam.llm.simhash import simhash_components
 from pricebeam.llm.substrings import remove_repeated_windows
 from pricebeam.llm.suffixes import remove_repeated_bytes
 from pricebeam.llm.token_counts import count_tokens
+from pricebeam.llm.variants import spelling_variants
 from pricebeam.llm.warc import archived_history
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +110,25 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlaps of every document with every benchmark item."""
     return overlaps(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of all vectors for every vector whose id 20 divides."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"), count=20)
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that score highest for every benchmark item."""
+    return ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), count=20)
+
+
+ORACLES["op12_ranked_search"] = lexical.ORACLE
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling_variants(_documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
