@@ -29,8 +29,8 @@ MISMATCH = 4
 BENCH_BYTES = 2 << 20
 #: Pairs of equal seeds that are looked at at a time.
 PAIRS = 1 << 20
-#: Texts are taken in slices of about this many bytes.
-SLICE_BYTES = 4 << 20
+#: Texts are taken in slices of about this many bytes, and a text's words so many at a time.
+SLICE_BYTES, PIECE = 1 << 20, 1 << 17
 
 #: Bytes between words: white space and ASCII punctuation. A-Z are lowered.
 BETWEEN = np.array([not (chr(b).isalnum() or b >= 0x80) for b in range(256)])
@@ -111,10 +111,14 @@ class BenchIndex:
         text and item that overlap, the best overlap."""
         found = [np.zeros((0, 3), np.int64)]
         for mask, hashes, at, gate in self.masks:
-            seed, place = _seeds(symbols, first, mask)
             bits = np.uint64(64 - (len(gate).bit_length() - 1))
-            open_ = gate[(seed >> bits).astype(np.int64)]
-            seed, place = seed[open_], place[open_]
+            passed = []
+            for a in range(0, max(1, len(symbols)), PIECE):
+                end = min(len(symbols), a + PIECE + len(mask) - 1)
+                seed, place = _seeds(symbols[a:end], np.clip(first - a, 0, end - a), mask)
+                open_ = gate[(seed >> bits).astype(np.int64)]
+                passed.append((seed[open_], place[open_] + a))
+            seed, place = (np.concatenate(x) for x in zip(*passed))
             low, high = np.searchsorted(hashes, seed), np.searchsorted(hashes, seed, side="right")
             times = high - low
             total = np.concatenate([[0], np.cumsum(times)])

@@ -38,30 +38,55 @@ def random_table(size: int, seed: int) -> np.ndarray:
     return mixed(steps + U64(seed))
 
 
-_POWERS: dict[int, np.ndarray] = {}
+#: Positions that are hashed at a time, so that a very long text needs little beside its result.
+PIECE = 1 << 17
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept while a task runs, at most one block long."""
-    have = _POWERS.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 16), base & MASK, dtype=U64)
-        steps[0] = 1
-        have = _POWERS[base] = np.cumprod(steps)
-    return have[:n]
+    """base**0 .. base**(n-1) modulo 2**64."""
+    steps = np.full(n, base & MASK, dtype=U64)
+    steps[:1] = 1
+    return np.cumprod(steps)
+
+
+class Powers:
+    """Any powers below base**n, from two short tables."""
+
+    LOW = 1 << 12
+
+    def __init__(self, base: int, n: int):
+        self.low = powers(base, self.LOW)
+        self.high = powers(pow(base, self.LOW, 1 << 64), n // self.LOW + 1)
+
+    def of(self, at: np.ndarray) -> np.ndarray:
+        return self.high[at // self.LOW] * self.low[at % self.LOW]
+
+    def between(self, begin: int, end: int) -> np.ndarray:
+        return self.of(np.arange(begin, end))
+
+
+def _of_length(raw: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return mixed(raw + lengths.astype(U64) * U64(0xD1B54A32D192ED03))
 
 
 class RangeHash:
     """Hashes of any ranges of one array of 64-bit symbols."""
 
     def __init__(self, symbols: np.ndarray):
-        self.sums = np.zeros(len(symbols) + 1, dtype=U64)
-        np.cumsum(symbols * powers(BASE, len(symbols)), out=self.sums[1:])
+        n = len(symbols)
+        self.sums = np.zeros(n + 1, dtype=U64)
+        self.inverse, steps = Powers(BASE_INVERSE, n), Powers(BASE, n)
+        for a in range(0, n, PIECE):
+            b = min(n, a + PIECE)
+            np.cumsum(symbols[a:b] * steps.between(a, b), out=self.sums[a + 1 : b + 1])
+            self.sums[a + 1 : b + 1] += self.sums[a]
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        inverse = powers(BASE_INVERSE, len(self.sums))
-        raw = (self.sums[ends] - self.sums[starts]) * inverse[starts]
-        return mixed(raw + (ends - starts).astype(U64) * U64(0xD1B54A32D192ED03))
+        out = np.empty(len(starts), U64)
+        for a in range(0, len(starts), PIECE):
+            low, high = starts[a : a + PIECE], ends[a : a + PIECE]
+            out[a : a + PIECE] = _of_length((self.sums[high] - self.sums[low]) * self.inverse.of(low), high - low)
+        return out
 
 
 def column_bytes(column) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +131,22 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def hashes(self, seed: int = 1) -> np.ndarray:
-        return RangeHash(random_table(256, seed)[self.data]).of(self.starts, self.ends)
+        """The same as a `RangeHash` of the bytes' random numbers gives; sums are kept at the words' bounds only."""
+        table, n = random_table(256, seed), len(self.data)
+        steps, inverse = Powers(BASE, n), Powers(BASE_INVERSE, n)
+        low, high = np.empty(len(self.starts), U64), np.empty(len(self.starts), U64)
+        before, i, j = np.zeros(1, U64), 0, 0
+        for a in range(0, n, PIECE):
+            b = min(n, a + PIECE)
+            sums = np.concatenate([before, table[self.data[a:b]] * steps.between(a, b)])
+            np.cumsum(sums, out=sums)
+            k, m = np.searchsorted(self.starts, b), np.searchsorted(self.ends, b, side="right")
+            low[i:k], high[j:m] = sums[self.starts[i:k] - a], sums[self.ends[j:m] - a]
+            before, i, j = sums[-1:], k, m
+        for a in range(0, len(low), PIECE):
+            part = slice(a, a + PIECE)
+            low[part] = _of_length((high[part] - low[part]) * inverse.of(self.starts[part]), self.ends[part] - self.starts[part])
+        return low
 
 
 def marked(ranges_from: np.ndarray, ranges_to: np.ndarray, n: int) -> np.ndarray:
