@@ -26,7 +26,7 @@ OFFERS = 6
 #: run in random order, without which no path would lead from one run to another.
 FIRST, RUN, PLANES = 16, 128, 48
 #: Nodes of a slot.
-SLOT_NODES = 4096
+SLOT_NODES = 2048
 #: The descent ends when under this share of all neighbours changed in a round, or after so many rounds.
 SETTLED, ROUNDS = 0.02, 12
 #: Best nodes a search keeps, and how many of them it opens in a round.
@@ -360,7 +360,8 @@ class NeighbourGraph:
                          F.max(F.array_max(F.transform("vector", F.abs)) / norm)).first()
         self.count, self.dims = size[0], size[1] or 1
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.slots = max(1, min(parts, self.count // 64), self.count // SLOT_NODES)
+        #: Slots follow the nodes alone, never the session's partitions: each pair of slots may exchange a row.
+        self.slots = max(1, self.count // SLOT_NODES)
         #: A direction's largest number becomes 127.
         self.scale = 127 / (min(1.0, size[2] or 1.0) or 1.0)
         signed = (nodes.select("node", "vector")
