@@ -113,7 +113,8 @@ def over(rule: str, strict: bool = False) -> Column:
 
 def host_verdicts(rows: DataFrame) -> DataFrame:
     """(host, n_docs, and for each rule the shrunken rate and whether the host is suspect) from measured
-    rows with a column host. The prior's mean is the corpus's failure rate; its strength follows from
+    rows with a column host. A host is suspect for a rule if its rate is over `SUSPECT_RATE` and over twice the
+    rate of all other hosts. The prior's mean is the corpus's failure rate; its strength follows from
     how far the hosts' rates spread beyond what their sizes explain (method of moments). One row of
     sums over all hosts goes to the driver."""
     hosts = materialize(rows.groupBy("host").agg(
@@ -134,7 +135,9 @@ def host_verdicts(rows: DataFrame) -> DataFrame:
         between = max(0.0, ((spread[r] or 0.0) - max(0, sums["hosts"] - 1) * chance) / room) if room > 0 else 0.0
         strength = min(1e6, max(1.0, chance / between - 1)) if between > 0 else 1e6
         rate = (F.col(r) + mean * strength) / (F.col("n_docs") + strength)
-        out += [rate.alias(f"{r}_rate"), ((rate > SUSPECT_RATE) & (rate > 2 * mean)).alias(f"{r}_suspect")]
+        # A host is compared with the others; one that is alone, with itself.
+        others = F.when(F.col("n_docs") < docs, ((sums[r] or 0) - F.col(r)) / (docs - F.col("n_docs"))).otherwise(F.lit(mean))
+        out += [rate.alias(f"{r}_rate"), ((rate > SUSPECT_RATE) & (rate > 2 * others)).alias(f"{r}_suspect")]
     return hosts.select(*out)
 
 
@@ -194,17 +197,18 @@ long AS (
         {'rule': 'dup_lines', 'over': n_dup_lines > 0.5::DOUBLE * n_lines, 'strict': n_dup_lines > 0.4::DOUBLE * n_lines}
     ], recursive := true) FROM ruled),
 hosts AS (SELECT host, rule, count(*) AS n, sum("over"::INT)::DOUBLE AS k FROM long GROUP BY ALL),
-corpus AS (SELECT rule, sum(k) / sum(n) AS m, count(*) AS hosts, sum(n) AS docs, sum(n::DOUBLE * n) AS squares FROM hosts GROUP BY rule),
+corpus AS (SELECT rule, sum(k) / sum(n) AS m, sum(k) AS all_k, count(*) AS hosts, sum(n) AS docs, sum(n::DOUBLE * n) AS squares FROM hosts GROUP BY rule),
 spread AS (SELECT rule, sum(n * (k / n - m) * (k / n - m)) AS s FROM hosts JOIN corpus USING (rule) GROUP BY rule),
 moments AS (
-    SELECT rule, m, m * (1 - m) AS chance, CASE WHEN docs - squares / docs > 0
+    SELECT rule, m, docs, all_k, m * (1 - m) AS chance, CASE WHEN docs - squares / docs > 0
         THEN greatest(0.0, (s - (hosts - 1) * m * (1 - m)) / (docs - squares / docs)) ELSE 0.0 END AS between_hosts
     FROM corpus JOIN spread USING (rule)),
 priors AS (
-    SELECT rule, m, CASE WHEN between_hosts > 0 THEN least(1e6, greatest(1.0, chance / between_hosts - 1)) ELSE 1e6 END AS strength
+    SELECT rule, m, docs, all_k, CASE WHEN between_hosts > 0 THEN least(1e6, greatest(1.0, chance / between_hosts - 1)) ELSE 1e6 END AS strength
     FROM moments),
 suspects AS (
-    SELECT host, rule, (k + m * strength) / (n + strength) > greatest(0.25, 2 * m) AS suspect
+    SELECT host, rule, (k + m * strength) / (n + strength)
+        > greatest(0.25, 2 * CASE WHEN n < docs THEN (all_k - k) / (docs - n) ELSE m END) AS suspect
     FROM hosts JOIN priors USING (rule)),
 verdicts AS (
     SELECT doc_id, bool_or("over" OR suspect AND strict) AS bad FROM long JOIN suspects USING (host, rule) GROUP BY doc_id)
