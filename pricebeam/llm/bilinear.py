@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricebeam.llm.blocks import (
-    ASK_SCHEMA, BLOCK, PAYLOAD, REPLY_SCHEMA, TEXT, Blocks, Distinct, asked, replies_of, with_columns,
+    ASK_SCHEMA, BLOCK, PAYLOAD, REPLY_SCHEMA, TEXT, Blocks, Distinct, asked, replies_of, unused, with_columns,
 )
 from pricebeam.llm.textarrays import Words, column_bytes, mixed, random_table
 from pricebeam.session import materialize
@@ -61,7 +61,8 @@ class _Tokens:
         self.first = words.first + np.arange(texts + 1)
         self.counts = words.counts + 1
         keys = table.column(PAYLOAD).combine_chunks()
-        keys = (keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys).field("__key").to_pylist()
+        keys = keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys
+        keys = keys.field(keys.type.num_fields - 1).to_pylist()  # `score_texts` puts the key last
         self.remainder = np.array([zlib.crc32(("" if x is None else x).encode()) % 5 for x in keys], np.int64)
         self.held_out = self.remainder == fold
         self.training = np.repeat(~self.held_out, self.counts)
@@ -312,7 +313,7 @@ def score_texts(docs: DataFrame, fold: int = 1, text: str = "text", key: str = "
     they occur; new columns replace those of the same names.
     """
     spark = docs.sparkSession
-    blocks = Blocks(docs.withColumn("__key", F.col(f"`{key}`").cast("string")), text)
+    blocks = Blocks(docs.withColumn(unused("__key", docs), F.col(f"`{key}`").cast("string")), text)
     asks = blocks.each(_ask(fold, blocks.buckets), ASK_SCHEMA)
     counts = materialize(asks.groupBy("bucket").applyInArrow(_count, REPLY_SCHEMA), "counts")
     vocabulary = _vocabulary(counts, blocks.buckets)

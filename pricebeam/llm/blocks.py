@@ -75,6 +75,14 @@ def packed(docs: DataFrame, text: str = "text") -> DataFrame:
                                 or [F.lit(None).cast("int").alias("none")]).alias(PAYLOAD))
 
 
+def unused(name: str, docs: DataFrame) -> str:
+    """`name`, or a longer one if the caller has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_columns(result: DataFrame, docs: DataFrame, text: str, *new: str) -> DataFrame:
     """The caller's columns in their order, out of (text, payload), then the new ones. A new column
     replaces one of the caller's of the same name."""

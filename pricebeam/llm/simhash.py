@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricebeam.llm.blocks import BLOCK, PAYLOAD, ROW, TEXT, Blocks, packed, sliced, with_columns
+from pricebeam.llm.blocks import BLOCK, PAYLOAD, ROW, TEXT, Blocks, packed, sliced, unused, with_columns
 from pricebeam.llm.components import connected
 from pricebeam.session import materialize
 
@@ -19,10 +19,12 @@ from pricebeam.session import materialize
 SEED = 42
 #: Children of an index node.
 FANOUT = 16
-#: Queries that walk the index together.
-QUERIES = 2048
-#: A bucket with more fingerprints than this is cut by further bits.
-BUCKET_LIMIT = 100_000
+#: Queries that walk the index together, and pairs of query and node that are held at a time.
+QUERIES, PAIRS = 2048, 1 << 18
+#: A bucket with more fingerprints than this is cut by further bits, again and again.
+BUCKET_LIMIT = 4096
+#: A bucket with more than this is cut even if that leaves more pairs, since one task holds it.
+BUCKET_MOST = 1 << 20
 #: Fingerprints that one call of the index handles, over all of its buckets.
 SLOT_FINGERPRINTS = 100_000
 
@@ -117,9 +119,10 @@ class GrayIndex:
                 lows.append(np.minimum.reduceat(lows[-1], first))
                 highs.append(np.maximum.reduceat(highs[-1], first))
             query = np.arange(at, min(n, at + QUERIES))
-            node, shared = root_of[query], np.zeros(len(query), np.uint64)
-            differ = np.zeros(len(query), np.int64)
-            for level in range(len(self.levels), -1, -1):
+            found = [np.zeros((2, 0), np.int64)]
+            open_ = [(len(self.levels), query, root_of[query], np.zeros(len(query), np.int64), np.zeros(len(query), np.uint64))]
+            while open_:  # depth first, so that no more than a few pieces of each level wait
+                level, query, node, differ, shared = open_.pop()
                 values, masks = (self.levels[level - 1][:2] if level else (self.prints, None))
                 mask = ~np.uint64(0) if masks is None else masks[node]
                 differ = differ + np.bitwise_count((self.prints[query] ^ values[node]) & mask & ~shared)
@@ -127,13 +130,17 @@ class GrayIndex:
                 keep = (differ <= distance) & ~own
                 query, node, differ = query[keep], node[keep], differ[keep]
                 if not level:
-                    break
+                    found.append(np.stack([query, node]))
+                    continue
                 shared = self.levels[level - 1][1][node]
                 low, high = self.levels[level - 1][2][node], self.levels[level - 1][3][node]
-                width = high - low
-                into = np.repeat(np.arange(len(node)), width)
-                node = low[into] + np.arange(len(into)) - np.repeat(np.cumsum(width) - width, width)
-                query, differ, shared = query[into], differ[into], shared[into]
+                for a in range(0, len(node), PAIRS // FANOUT):
+                    part = slice(a, a + PAIRS // FANOUT)
+                    width = high[part] - low[part]
+                    into = np.repeat(np.arange(len(width)), width)
+                    child = low[part][into] + np.arange(len(into)) - np.repeat(np.cumsum(width) - width, width)
+                    open_.append((level - 1, query[part][into], child, differ[part][into], shared[part][into]))
+            query, node = np.concatenate(found, axis=1)
             label = joined(label, query, node)
         out = np.empty(n, np.int64)
         out[self.order] = self.order[label]
@@ -158,38 +165,50 @@ def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _bands(shift: int, width: int, parts: int) -> list[tuple[int, int]]:
-    """`parts` ranges of bits (from, width) that cover `width` bits from `shift`."""
-    cuts = [shift + width * i // parts for i in range(parts + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+def _parts_of(mask: int, parts: int) -> list[int]:
+    """The set bits of a mask as `parts` masks of nearly as many bits each."""
+    bits = [i for i in range(64) if mask >> i & 1]
+    cuts = [len(bits) * i // parts for i in range(parts + 1)]
+    return [sum(1 << b for b in bits[x:y]) for x, y in zip(cuts, cuts[1:])]
 
 
-def _bits(fp: str, at: int, width: int):
-    return F.shiftrightunsigned(F.col(fp), at).bitwiseAND((1 << width) - 1)
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
 def _candidates(prints: DataFrame, distance: int) -> DataFrame:
-    """(bucket, fp): each fingerprint in distance + 1 buckets, one for each band of its bits. Two
-    fingerprints with at most `distance` differing bits agree in a whole band. Buckets over
-    `BUCKET_LIMIT` are cut again by the same rule over the bits that their band leaves open."""
-    parts = distance + 1
-    bands = _bands(0, 64, parts)
-    rows = prints.select("fp", F.explode(F.array(*[
-        F.struct(F.concat(F.lit(f"{i}:"), F.hex(_bits("fp", a, w))).alias("bucket"), F.lit(i).alias("band"))
-        for i, (a, w) in enumerate(bands)])).alias("k")).select("fp", "k.bucket", "k.band")
-    sizes = materialize(rows.groupBy("bucket").count().filter(F.col("count") > BUCKET_LIMIT), "buckets")
-    if sizes.isEmpty():
-        return rows.select("bucket", "fp")
-    rows = rows.join(sizes, "bucket", "left")
-    finer = []
-    for i, (a, w) in enumerate(bands):
-        rest = F.shiftrightunsigned(F.col("fp"), a + w) if a + w < 64 else F.lit(0).cast("long")
-        left = F.shiftleft(rest, a).bitwiseOR(_bits("fp", 0, a) if a else F.lit(0).cast("long"))
-        finer.append(F.when(F.col("band") == i, F.array(*[
-            F.concat("bucket", F.lit(f"/{j}:"), F.hex(F.shiftrightunsigned(left, b).bitwiseAND((1 << v) - 1)))
-            for j, (b, v) in enumerate(_bands(0, 64 - w, parts))])))
-    return rows.select("fp", F.explode(F.when(F.col("count").isNull(), F.array("bucket"))
-                                       .otherwise(F.coalesce(*finer))).alias("bucket")).select("bucket", "fp")
+    """(mask, bucket, fp): each fingerprint in distance + 1 buckets, one for each band of its bits. Two
+    fingerprints with at most `distance` differing bits agree in a whole band.
+
+    A bucket over `BUCKET_LIMIT` fingerprints is cut by the same rule over the bits that it leaves open, again
+    and again, as long as a cut halves the pairs in it. It does for fingerprints that merely share a band. Those
+    that are near each other stay together, where the index passes over what is linked already, up to
+    `BUCKET_MOST`.
+    """
+    parts, whole, keys = distance + 1, (1 << 64) - 1, ["mask", "bucket"]
+    rows = prints.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in _parts_of(whole, parts)])).alias("mask"))
+    rows = rows.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bucket"), F.lit(False).alias("settled"))
+    while True:
+        open_bits = 64 - F.bit_count("mask")
+        large = materialize(rows.filter(~F.col("settled") & (open_bits >= parts)).groupBy(keys).count()
+                            .filter(F.col("count") > BUCKET_LIMIT), "large")
+        masks = [x[0] & whole for x in large.select("mask").distinct().collect()]  # masks, not buckets: few
+        if not masks:
+            return rows.select("mask", "bucket", "fp")
+        finer = F.coalesce(*[F.when(F.col("mask") == _signed(m), F.array(*[F.lit(_signed(m | x)) for x in _parts_of(whole & ~m, parts)]))
+                             for m in masks])
+        cut = materialize(rows.filter(~F.col("settled")).join(large, keys)
+                          .select("fp", *keys, "count", F.explode(finer).alias("inner"))
+                          .withColumn("within", F.col("fp").bitwiseAND(F.col("inner"))), "cut")
+        pairs = cut.groupBy(*keys, "count", "inner", "within").agg(F.count("*").alias("n")).groupBy(*keys, "count").agg(
+            F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"))
+        pays = (F.col("pairs") * 2 <= F.col("count").cast("double") * F.col("count")) | (F.col("count") > BUCKET_MOST)
+        judged = materialize(pairs.select(*keys, pays.alias("pays")), "judged")
+        known = rows.join(judged, keys, "left").filter("pays IS NULL OR NOT pays").select(
+            "fp", *keys, (F.col("settled") | F.col("pays").isNotNull()).alias("settled"))
+        inner = cut.join(judged.filter("pays"), keys, "left_semi").select(
+            "fp", F.col("inner").alias("mask"), F.col("within").alias("bucket"), F.lit(False).alias("settled"))
+        rows = materialize(known.union(inner), "buckets")
 
 
 def link_groups(prints: DataFrame, distance: int = 4) -> DataFrame:
@@ -203,15 +222,13 @@ def link_groups(prints: DataFrame, distance: int = 4) -> DataFrame:
 
     def work(table: pa.Table) -> pa.Table:
         prints = table.column("fp").to_numpy().view(np.uint64)
-        buckets = table.column("bucket").combine_chunks().dictionary_encode()
-        if isinstance(buckets, pa.ChunkedArray):
-            buckets = buckets.combine_chunks()
-        label = GrayIndex(buckets.indices.to_numpy(), prints).labels(distance)
+        buckets = np.stack([table.column(c).to_numpy() for c in ("mask", "bucket")], axis=1)
+        label = GrayIndex(np.unique(buckets, axis=0, return_inverse=True)[1].ravel(), prints).labels(distance)
         hung = np.flatnonzero(label != np.arange(len(label)))
         return pa.table({"a": prints[hung].view(np.int64), "b": prints[label[hung]].view(np.int64)})
 
     edges = (_candidates(distinct, distance)
-             .withColumn("slot", F.pmod(F.xxhash64("bucket"), F.lit(slots)))
+             .withColumn("slot", F.pmod(F.xxhash64("mask", "bucket"), F.lit(slots)))
              .groupBy("slot").applyInArrow(work, "a long, b long"))
     return connected(edges).select(F.col("node").alias("fingerprint"), "root")
 
@@ -255,8 +272,9 @@ def one_of_each_group(docs: DataFrame, shingle: int = 4, distance: int = 4, text
     """The rows of `docs`, one for each group of `simhash_components`: that with the smallest key (null
     keys last; of rows with that key, one). Texts are written once, in blocks; only fingerprints and
     the numbers of the rows to keep are shuffled."""
-    blocks = Blocks(docs.withColumn("__key", F.col(f"`{key}`")), text)
-    own = blocks.table.select(BLOCK, ROW, F.col(PAYLOAD)["__key"].alias("__key"), F.col(TEXT).alias("__text"))
+    mine = unused("__key", docs)
+    blocks = Blocks(docs.withColumn(mine, F.col(f"`{key}`")), text)
+    own = blocks.table.select(BLOCK, ROW, F.col(PAYLOAD)[mine].alias("__key"), F.col(TEXT).alias("__text"))
     prints = materialize(with_fingerprints(own, shingle, "__text").drop("__text"), "fingerprints")
     place = F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("key"), BLOCK, ROW)
     kept = (near_groups(prints.select(place.alias("place"), "fingerprint"), distance, key="place")
