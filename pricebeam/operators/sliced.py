@@ -8,6 +8,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
+from pricebeam.functions.returns import pct_change
 from pricebeam.session import materialize
 
 # A series with more rows than this is cut, into slices of about a quarter of it: small enough that
@@ -31,16 +32,13 @@ def over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], look
     and the result equals the plain window's: on both ways rows that tie in `order` follow the
     remaining columns (those that have an order), so that ties fall alike.
     """
-    series, order = list(series), list(order)
-    order += [f.name for f in df.schema.fields if f.name not in (*series, *order)
-              and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    series, order = list(series), _whole_order(df, list(series), order)
     hot = _long_series(df, series, max_rows)
     hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if not hot_keys:
         return compute(df, Window.partitionBy(*series).orderBy(*order))
 
-    keys = materialize(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in series]), "hot-series")
-    same = _all(F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in series)
+    keys, same = _hot_keys(hot, series)
     cold_result = compute(df.join(keys, same, "left_anti"),
                           Window.partitionBy(*series).orderBy(*order))
     sliced = _slice(df.join(keys, same, "left_semi"), series, order,
@@ -48,6 +46,66 @@ def over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], look
     return cold_result.unionByName(_over_slices(sliced, series, order, lookback, compute))
 
 
+def filled_over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], value: str, out: str,
+                       max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
+    """Adds `out`: the last non-null `value` at or before each row of its series, which may have any length.
+
+    A value can be carried over any distance, so no halo is long enough. Series over `max_rows` are cut into
+    slices instead, and filled in two levels: the last known value of each slice; a pass over these, one row
+    per slice, that tells each slice what the ones before it leave; and a window within each slice. Ties in
+    `order` follow the remaining columns, as in `over_series`, so the result equals the plain window's.
+    """
+    series, order = list(series), _whole_order(df, series, order)
+
+    def fill(rows: DataFrame, *by: str) -> Column:
+        window = Window.partitionBy(*series, *by).orderBy(*order)
+        return F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    hot = _long_series(df, series, max_rows)
+    hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    if not hot_keys:
+        return df.withColumn(out, fill(df))
+    keys, same = _hot_keys(hot, series)
+    cold = df.join(keys, same, "left_anti")
+    sliced = _slice(df.join(keys, same, "left_semi"), series, order, ceil(SLICES_PER_LIMIT * hot_rows / max_rows))
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    lasts = sliced.groupBy(*series, "_slice").agg(F.max_by(value, known).alias("_last"))
+    before = Window.partitionBy(*series).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select(*[F.col(c).alias(f"_of_{c}") for c in series], F.col("_slice").alias("_of_slice"),
+                           F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    of = _all([*(F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in series), F.col("_slice") == F.col("_of_slice")])
+    met = sliced.join(carried, of).withColumn(out, F.coalesce(fill(sliced, "_slice"), "_carried"))
+    return cold.withColumn(out, fill(cold)).unionByName(met.select(*df.columns, out))
+
+
+def returns_over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], value: str, lags: dict[str, int],
+                        fill: str = "pad", max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
+    """Percent changes (see `with_returns`) along series of any length."""
+    padded = value
+    if fill == "pad":
+        padded = "_padded"
+        df = filled_over_series(df, series, order, value, padded, max_rows)
+    elif fill != "none":
+        raise ValueError(f"fill must be 'pad' or 'none', not {fill!r}")
+
+    def changes(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        return rows.withColumns({n: pct_change(F.col(padded), window, k) for n, k in lags.items()})
+
+    kept = [c for c in df.columns if c != "_padded"]
+    return over_series(df, series, order, max(lags.values()), changes, max_rows).select(*kept, *lags)
+
+
+def _whole_order(df: DataFrame, series: list[str], order: Sequence[str]) -> list[str]:
+    """The order, then the remaining columns that have one, so that ties fall alike on every way."""
+    return [*order, *(f.name for f in df.schema.fields if f.name not in (*series, *order)
+                      and not isinstance(f.dataType, (T.MapType, T.VariantType)))]
+
+
+def _hot_keys(hot: DataFrame, series: list[str]) -> tuple[DataFrame, Column]:
+    keys = materialize(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in series]), "hot-series")
+    return keys, _all(F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in series)
+
+
 def _long_series(df: DataFrame, series: list[str], max_rows: int) -> DataFrame:
     """Keys of series over `max_rows` with their size.
 

@@ -23,7 +23,7 @@ from pricebeam.operators import comparison, rollups
 from pricebeam.operators.changes import row_changes, snapshot_changes
 from pricebeam.operators.dedupe import dedupe_latest
 from pricebeam.operators.series import date_range, tag_series, union_series, unlisted_series
-from pricebeam.operators.sliced import over_series
+from pricebeam.operators.sliced import over_series, returns_over_series
 from pricebeam.operators.upsert import duplicate_keys, upsert_computed
 from pricebeam.plans import views
 from pricebeam.plans.harmonize import daily_metrics, harmonize, with_volatility
@@ -300,6 +300,25 @@ def rolling_volatility_30_long_series(spark, sf_dir):
                        max_rows=rows)
 
 
+@registered("pct_change_padded_long_series", """
+WITH t AS (SELECT CAST(l_shipdate AS DATE) AS date, l_partkey % 7 AS index_name, l_orderkey AS order_key, l_linenumber AS line_number,
+    l_partkey AS part, CASE WHEN l_orderkey % 5 > 0 THEN NULL ELSE l_extendedprice END AS value FROM lineitem),
+f AS (SELECT *, last_value(value IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS padded, row_number() OVER w AS n FROM t
+    WINDOW w AS (PARTITION BY index_name ORDER BY date, order_key, line_number, part, value NULLS FIRST))
+SELECT date, index_name, order_key, line_number, part, value,
+  round(padded / lag(padded, 1) OVER w - 1, 6) AS daily_return, round(padded / lag(padded, 30) OVER w - 1, 6) AS monthly_return
+FROM f WINDOW w AS (PARTITION BY index_name ORDER BY n)""")
+def pct_change_padded_long_series(spark, sf_dir):
+    """Seven long series of line items, four in five prices missing, always cut into slices."""
+    ticks = part_ticks(spark, sf_dir).select(
+        "date", (F.col("index_name") % 7).alias("index_name"), "order_key", "line_number", F.col("index_name").alias("part"),
+        F.when(F.col("order_key") % 5 == 0, F.col("value")).alias("value"))
+    rows = max(ticks.count() // 20, 1)
+    found = returns_over_series(ticks, ["index_name"], ["date", "order_key", "line_number", "part"], "value",
+                                {"daily_return": 1, "monthly_return": 30}, max_rows=rows)
+    return found.withColumns({c: r6(c) for c in ("daily_return", "monthly_return")})
+
+
 # --- metric tables -------------------------------------------------------------------------------
 
 @registered("daily_index_metrics", f"""WITH {P}

@@ -215,3 +215,26 @@ def test_comparison(spark):
     assert len(pairs) == 3
     for a, b, c in joined:
         assert pairs[a, b] == pytest.approx(c)
+
+
+@pytest.mark.parametrize("max_rows", [10_000, 7])
+def test_padding_over_slices_equals_the_plain_window(spark, max_rows):
+    """Long gaps, a series without any price, ties and null keys; slices shorter than the gaps."""
+    from pricebeam.operators.sliced import filled_over_series, returns_over_series
+
+    rng = random.Random(4)
+    data = [(n, rng.randrange(60), i, rng.choice([None] * 8 + [rng.uniform(1, 9)])) for n in ("a", "b", None) for i in range(150)]
+    data += [("empty", 1, i, None) for i in range(40)]
+    df = spark.createDataFrame(data, "name string, day int, seq int, value double")
+    window = Window.partitionBy("name").orderBy("day", "seq", "value")
+    plain = df.withColumn("filled", F.last("value", ignorenulls=True).over(
+        window.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    lags = {"one": 1, "many": 9}
+    returns = plain.withColumns({n: F.try_divide("filled", F.lag("filled", k).over(window)) - 1 for n, k in lags.items()})
+
+    def rows(frame):
+        return sorted(map(repr, frame.collect()))
+
+    assert rows(filled_over_series(df, ["name"], ["day", "seq"], "value", "filled", max_rows)) == rows(plain)
+    found = returns_over_series(df, ["name"], ["day", "seq"], "value", lags, max_rows=max_rows)
+    assert rows(found) == rows(returns.drop("filled"))
