@@ -20,7 +20,7 @@ from pricebeam.plans.registered import (
     weekly_performance_sql,
 )
 from pricebeam.plans.jobs import end_to_end, ingest
-from pricebeam.session import scratch_path
+from pricebeam.session import on_filesystem, scratch_path
 from pricebeam.sources.adapters import (
     AS_OF,
     daily_series,
@@ -307,6 +307,71 @@ def newest_file_wins(spark, sf_dir):
     return read_table(spark, layers, schemas.DAILY_METRICS).select("date", "index_name", "index_value")
 
 
+@registered("deferred_rows_derived", f"""WITH {P},
+cut AS (SELECT * FROM pr WHERE date <= DATE '2001-07-31'), {weekly_performance_sql("cut")}
+SELECT 'daily_index_metrics' AS table_name, date AS day, index_name, index_value AS a, round(daily_return, 6) AS b FROM cut
+UNION ALL SELECT 'weekly_index_metrics', date_trunc('week', date)::DATE, index_name,
+  round(avg(index_value), 6), round(avg(daily_return), 6) FROM cut GROUP BY 2, 3
+UNION ALL SELECT 'monthly_index_metrics', date_trunc('month', date)::DATE, index_name, round(max(monthly_return), 6), NULL
+  FROM cut GROUP BY 2, 3
+UNION ALL SELECT 'weekly_performance', week_start, index_name, round(avg_value, 6), round(weekly_return, 6) FROM wp""")
+def deferred_rows_derived(spark, sf_dir):
+    """Two series are landed whole and derived up to 1999; the others come while the day goes back to 1997. Then
+    the day moves on, with no new file, and all that waited is derived."""
+    raw, layers, landing = raw_series(spark, sf_dir), _fresh_layers(spark), scratch_path(spark, "landing")
+    load, update = scratch_path(spark, "load"), scratch_path(spark, "update")
+    first = F.col("index_name") < "3"
+    for label, rows, as_of in (("first", raw.filter(first), dt.date(1999, 6, 30)),
+                               ("others", raw.filter(~first), dt.date(1997, 3, 15))):
+        _land(rows, landing, label)
+        load_raw_data(spark, layers, f"{landing}/*", load)
+        update_daily_index_metrics(spark, layers, update, as_of)
+    update_daily_index_metrics(spark, layers, update, AS_OF)
+    out = None
+    for spec in (schemas.DAILY_METRICS, schemas.WEEKLY_METRICS, schemas.MONTHLY_METRICS, schemas.WEEKLY_PERFORMANCE):
+        values = [*spec.column_names[2:4], None][:2]
+        long = read_table(spark, layers, spec).select(
+            F.lit(spec.name).alias("table_name"), F.col(spec.dated_by).alias("day"), "index_name",
+            *[r6(v, name) if v else F.lit(None).cast("double").alias(name) for v, name in zip(values, "ab")])
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
+def _replace_in_place(rows: DataFrame, landing: str, label: str) -> None:
+    """Write rows over the files of a landed directory, part by part, under the files' old names."""
+    spark, fresh = rows.sparkSession, scratch_path(rows.sparkSession, "fresh")
+    _land(rows, fresh, label)
+    files, old = on_filesystem(spark, f"{landing}/{label}")
+
+    def parts(path):
+        return {x.getPath().getName()[:10]: x.getPath() for x in files.listStatus(path) if x.getPath().getName().startswith("part-")}
+
+    new = parts(on_filesystem(spark, f"{fresh}/{label}")[1])
+    for number, target in parts(old).items():
+        files.delete(target, False)
+        if number in new:
+            files.rename(new[number], target)
+
+
+@registered("replaced_file_wins", f"""WITH {P}
+SELECT date, index_name, index_value - CASE WHEN index_value < 150000 THEN 1000 ELSE 0 END AS index_value
+FROM p WHERE date <= DATE '2001-07-31'""")
+def replaced_file_wins(spark, sf_dir):
+    """Landed files are corrected in place, with other prices; the load takes them as newer files."""
+    raw = raw_series(spark, sf_dir)
+    layers, landing, load = _fresh_layers(spark), scratch_path(spark, "landing"), scratch_path(spark, "load")
+    update = scratch_path(spark, "update")
+    wrong = raw.repartition(4, "date", "index_name")
+    right = wrong.withColumn("index_value", F.col("index_value") - F.when(F.col("index_value") < 150_000, 1000).otherwise(0))
+    _land(wrong, landing, "prices")
+    load_raw_data(spark, layers, f"{landing}/*", load)
+    update_daily_index_metrics(spark, layers, update, AS_OF)
+    _replace_in_place(right, landing, "prices")
+    load_raw_data(spark, layers, f"{landing}/*", load)
+    update_daily_index_metrics(spark, layers, update, AS_OF)
+    return read_table(spark, layers, schemas.DAILY_METRICS).select("date", "index_name", "index_value")
+
+
 @registered("json_staged", f"WITH {P} SELECT date, index_name, index_value FROM p0")
 def json_staged(spark, sf_dir):
     """JSON lines loaded into staging like CSV files."""

@@ -27,6 +27,8 @@ RAW_VALUES = _struct(
 # Where a staged row came from: when its file was written, and the file's name. Null for rows that came
 # from no file.
 FILE_COLUMNS = ("file_time", "file_name")
+# How long that file was. With time and name it tells a file from one that replaced it.
+FILE_LENGTH = "file_length"
 # Of two staged rows for one key the later in these columns wins: the newer load, then the newer file.
 NEWEST_BY = ("load_timestamp", "load_id", "file_time", "file_name")
 
@@ -68,6 +70,12 @@ RAW_QUARANTINE = TableSpec(
             ("load_timestamp", T.TimestampType())),
     (), None, "load_id",
 )
+RAW_LOADS = TableSpec(
+    "raw", "index_loads",
+    _struct(("file_time", T.TimestampType()), ("file_name", STRING), (FILE_LENGTH, T.LongType()),
+            ("good_rows", T.LongType()), ("bad_rows", T.LongType()), ("load_timestamp", T.TimestampType())),
+    (), None, "load_id",
+)
 HARMONIZED = TableSpec(
     "harmonized", "index_harmonized",
     _struct(("timestamp", T.TimestampNTZType()), ("index_name", STRING), ("value", DOUBLE),
@@ -111,6 +119,6 @@ WEEKLY_PERFORMANCE = TableSpec(
 )
 
 TABLES = (
-    RAW_STAGING, RAW_QUARANTINE, HARMONIZED, HARMONIZED_VOLATILITY, DAILY_METRICS,
+    RAW_STAGING, RAW_QUARANTINE, RAW_LOADS, HARMONIZED, HARMONIZED_VOLATILITY, DAILY_METRICS,
     WEEKLY_METRICS, MONTHLY_METRICS, DAILY_PERFORMANCE, WEEKLY_PERFORMANCE,
 )

@@ -49,22 +49,35 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/pricebeam/{label}-{uuid.uuid4().hex}"
 
 
-def _on_filesystem(spark: SparkSession, path: str):
+def on_filesystem(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _on_filesystem(spark, path)
+    files, hadoop_path = on_filesystem(spark, path)
     return files.exists(hadoop_path)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders in a folder, by name; none if it does not exist."""
+    files, hadoop_path = on_filesystem(spark, path)
+    if not files.exists(hadoop_path):
+        return []
+    return sorted(x.getPath().toString() for x in files.listStatus(hadoop_path) if x.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the library's own state, or a scratch copy."""
+    files, hadoop_path = on_filesystem(spark, path)
+    files.delete(hadoop_path, True)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a scratch copy that is no longer needed. Only paths below the shared folder qualify."""
     if not path.startswith(f"{shared_dir(spark)}/pricebeam/"):
         raise ValueError(f"{path} is not a scratch path")
-    files, hadoop_path = _on_filesystem(spark, path)
-    files.delete(hadoop_path, True)
+    remove_folder(spark, path)
 
 
 def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:

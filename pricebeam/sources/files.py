@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from pricebeam.schemas import FILE_COLUMNS, LANDED_JSON, RAW_VALUES
+from pricebeam.schemas import FILE_COLUMNS, FILE_LENGTH, LANDED_JSON, RAW_VALUES
 
 # Tokens of a missing value in landed files, and in pulled series files.
 NULL_TOKENS = ("", "NULL")
@@ -38,17 +38,18 @@ def _text_reader(reader, schema: T.StructType, delimiter: str):
 
 
 def with_file(rows: DataFrame) -> DataFrame:
-    """Adds the time and name of each row's file, so that a newer file can win over an older one."""
+    """Adds the time, name and length of each row's file, so that a newer file can win over an older one."""
     return rows.select("*", F.col("_metadata.file_modification_time").alias(FILE_COLUMNS[0]),
-                       F.col("_metadata.file_path").alias(FILE_COLUMNS[1]))
+                       F.col("_metadata.file_path").alias(FILE_COLUMNS[1]),
+                       F.col("_metadata.file_size").alias(FILE_LENGTH))
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: T.StructType = RAW_VALUES,
+def read_csv_text(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_VALUES,
                   delimiter: str = ",") -> DataFrame:
     return with_file(_text_reader(spark.read, schema, delimiter).csv(path))
 
 
-def read_json_text(spark: SparkSession, path: str, schema: T.StructType = LANDED_JSON) -> DataFrame:
+def read_json_text(spark: SparkSession, path: str | list[str], schema: T.StructType = LANDED_JSON) -> DataFrame:
     """Every field as text; a line that is no JSON object is kept whole in `_broken_line`."""
     return with_file(_json_reader(spark.read, schema).json(path))
 
@@ -100,7 +101,7 @@ def classify(text: DataFrame, schema: T.StructType = RAW_VALUES,
         *[typed[n].alias(n) for n in fields],
         F.struct(*[F.col(n) for n in fields], F.col(BROKEN_LINE).alias("line")).alias("_text"),
         reason.alias("reason"),
-        *[F.col(c) for c in FILE_COLUMNS if c in text.columns],
+        *[F.col(c) for c in (*FILE_COLUMNS, FILE_LENGTH) if c in text.columns],
     )
 
 

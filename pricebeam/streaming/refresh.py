@@ -25,7 +25,8 @@ from pricebeam.operators.rollups import (
 from pricebeam.plans.harmonize import daily_metrics, harmonize, performance_input, with_volatility
 from pricebeam.plans.jobs import JobResult
 from pricebeam.session import discard, materialize, shared_dir, written
-from pricebeam.sources.files import FILE_AGE, bad_rows, classify, good_rows, stream_text
+from pricebeam.sources.files import FILE_AGE, bad_rows, classify, good_rows, read_csv_text, read_json_text, stream_text
+from pricebeam.sources.ledger import FILES_PER_LOAD, VERSION, enter, load_token, unloaded
 from pricebeam.sources.tables import (
     OVERWRITE_MODE,
     Layers,
@@ -36,6 +37,7 @@ from pricebeam.sources.tables import (
     upsert_table,
     upsert_tables,
 )
+from pricebeam.streaming.pending import PendingKeys
 
 NO_NEW_DATA = "no new data"
 
@@ -60,27 +62,52 @@ def load_raw_data(spark: SparkSession, layers: Layers, landing_dir: str, checkpo
                   files_per_batch: int | None = None, kind: str = "csv") -> JobResult:
     """Load each landed file once, whatever its date: good rows to staging, bad rows to quarantine, one
     load id per batch. A batch that is repeated after a failure replaces its own load.
-    `files_per_batch` cuts a large first load into several; `kind` is csv or json."""
-    loaded = {"loads": 0}
-    schema = schemas.LANDED_JSON if kind == "json" else schemas.RAW_VALUES
+    `files_per_batch` cuts a large first load into several; `kind` is csv or json.
+
+    Every load enters its files in the ledger, by path, length and time, with their good and bad rows. Files
+    that were replaced in place since are loaded after the new ones, as newer files: their rows win by key, and
+    rows that the newer file no longer has stay."""
+    loaded = {"loads": 0, "replaced": 0}
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        stamp = F.lit(dt.datetime.now(dt.timezone.utc)).alias("load_timestamp")
-        load_id = batch_token(spark, checkpoint, batch_id)
-        # Each file is parsed once; both sinks read the classified rows.
-        rows, path = written(classify(batch, schema), "classified")
-        good = _with_columns(good_rows(rows, schema, with_origin=True), schemas.RAW_VALUES)
-        bad = _with_columns(bad_rows(rows), schemas.RAW_QUARANTINE.columns, but="load_timestamp")
-        append_load(good.select("*", stamp), layers, schemas.RAW_STAGING, load_id)
-        append_load(bad.select("*", stamp), layers, schemas.RAW_QUARANTINE, load_id)
-        discard(spark, path)
+        _load(batch, layers, batch_token(spark, checkpoint, batch_id), kind)
         loaded["loads"] += 1
 
     drain(stream_text(spark, landing_dir, files_per_batch=files_per_batch, kind=kind), checkpoint, process)
     refresh_listings(spark, layers)
+    while True:
+        spark.catalog.refreshTable(layers.name(schemas.RAW_LOADS))
+        files = unloaded(spark, layers, landing_dir).orderBy(*VERSION).limit(files_per_batch or FILES_PER_LOAD).collect()
+        if not files:
+            break
+        read = read_json_text(spark, [x.path for x in files]) if kind == "json" else read_csv_text(
+            spark, [x.path for x in files])
+        listed = spark.createDataFrame(files, "path string, file_time timestamp, file_name string, file_length long")
+        if _load(read, layers, load_token(files), kind, listed):
+            loaded["loads"] += 1
+            loaded["replaced"] += len(files)
+    refresh_listings(spark, layers)
     return JobResult("loaded" if loaded["loads"] else NO_NEW_DATA, loaded)
 
 
+def _load(text: DataFrame, layers: Layers, load_id: str, kind: str, files: DataFrame | None = None) -> bool:
+    """Classify rows and append them as one load; whether there were any."""
+    spark = text.sparkSession
+    schema = schemas.LANDED_JSON if kind == "json" else schemas.RAW_VALUES
+    stamp = F.lit(dt.datetime.now(dt.timezone.utc)).alias("load_timestamp")
+    # Each file is parsed once; all sinks read the classified rows.
+    rows, path = written(classify(text, schema), "classified")
+    good = _with_columns(good_rows(rows, schema, with_origin=True), schemas.RAW_VALUES)
+    bad = _with_columns(bad_rows(rows), schemas.RAW_QUARANTINE.columns, but="load_timestamp")
+    append_load(good.select("*", stamp), layers, schemas.RAW_STAGING, load_id)
+    append_load(bad.select("*", stamp), layers, schemas.RAW_QUARANTINE, load_id)
+    # The ledger comes last: a load that died before is repeated whole.
+    enter(rows, layers, load_id, stamp, files)
+    found = not rows.isEmpty()
+    discard(spark, path)
+    return found
+
+
 def _with_columns(df: DataFrame, schema: T.StructType, but: str = "") -> DataFrame:
     """The frame with those of the schema's columns that it lacks, as nulls."""
     return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema.fields
@@ -109,29 +136,33 @@ def update_daily_index_metrics(spark: SparkSession, layers: Layers, checkpoint:
     Default mode recomputes exactly what the new rows affect, however old they are. With
     `strict_reference` the three performance upserts use fixed lookbacks before `as_of`: the
     current month, 30 days and four weeks. In both, derived tables hold no day after `as_of`: later
-    rows stay in the harmonized table and are derived by the first refresh whose `as_of` reaches them.
+    rows stay in the harmonized table and are derived by the first refresh whose `as_of` reaches them,
+    whether or not that refresh meets new rows. What was derived before an `as_of` that goes back stays.
     """
-    done = {"batches": 0}
+    done = {"batches": 0, "derived": 0}
+    day = spark.range(1).select(as_of_date(as_of)).first()[0]
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        apply_batch(batch, layers, batch_token(spark, checkpoint, batch_id), as_of_date(as_of),
-                    strict_reference)
+        done["derived"] += apply_batch(batch, layers, batch_token(spark, checkpoint, batch_id), day, strict_reference)
         done["batches"] += 1
 
     drain(staging_stream(spark, layers), checkpoint, process)
     # The stream wrote in a session of its own; this one still lists the files before.
     refresh_listings(spark, layers)
-    return JobResult("updated" if done["batches"] else NO_NEW_DATA, done)
+    done["derived"] += derive_pending(spark, layers, day, strict_reference)
+    refresh_listings(spark, layers)
+    return JobResult("updated" if done["batches"] or done["derived"] else NO_NEW_DATA, done)
 
 
-def apply_batch(batch: DataFrame, layers: Layers, token: str, as_of: Column,
-                strict_reference: bool = False) -> None:
-    """Fan one batch out to harmonized and daily rows, then to the derived tables.
+def apply_batch(batch: DataFrame, layers: Layers, token: str, as_of: dt.date,
+                strict_reference: bool = False) -> int:
+    """Fan one batch out to harmonized rows, note their keys, and derive what `as_of` has reached; the number
+    of keys derived.
 
-    The deduplicated batch is written once to the shared folder; both sinks and all later steps
-    read that copy. Every write replaces by key, so a repeated batch changes nothing.
+    The deduplicated batch is written once to the shared folder; all later steps read that copy. Every
+    write replaces by key, so a repeated batch changes nothing.
     """
     spark = batch.sparkSession
     # The streaming query has this session to itself.
@@ -139,36 +170,41 @@ def apply_batch(batch: DataFrame, layers: Layers, token: str, as_of: Column,
     staged = f"{shared_dir(spark)}/pricebeam/batches/{token}"
     harmonize(batch, schemas.NEWEST_BY).write.mode("overwrite").parquet(staged)
     arrived = spark.read.schema(schemas.HARMONIZED.columns).parquet(staged)
-    day = F.col("timestamp").cast("date")
-    waiting = _waiting(spark, layers, as_of)
     upsert_table(arrived, layers, schemas.HARMONIZED, token, unique=True)
-    # Rows that came earlier, but lay after that refresh's as_of, count as changed, too.
-    changed, path = written(
-        _between(spark.table(layers.name(schemas.HARMONIZED)), waiting, as_of)
-        .select(*schemas.HARMONIZED.column_names)
-        .unionByName(arrived.filter(day <= as_of)).dropDuplicates(["timestamp", "index_name"]), "changed")
-    if not changed.isEmpty():
-        refreshed = {schemas.DAILY_METRICS: daily_metrics(changed)}
-        if strict_reference:
-            refreshed |= _fixed_lookback_refresh(spark, layers, as_of)
-        else:
-            refreshed |= _affected_refresh(spark, layers, changed, as_of)
-        upsert_tables(refreshed, layers, token)
-    discard(spark, path)
+    day = F.col("timestamp").cast("date").alias("date")
+    PendingKeys(spark, layers).note(arrived.select(day, "index_name"), token)
+    derived = derive_pending(spark, layers, as_of, strict_reference)
     discard(spark, staged)
+    return derived
 
 
-def _waiting(spark: SparkSession, layers: Layers, as_of: Column) -> dt.date | None:
-    """The last day that has been derived; harmonized rows after it wait for `as_of` to pass them."""
-    return read_table(spark, layers, schemas.DAILY_METRICS).agg(F.max("date")).first()[0]
+def derive_pending(spark: SparkSession, layers: Layers, as_of: dt.date, strict_reference: bool = False) -> int:
+    """Bring the derived tables up to date with all rows up to `as_of` that wait; the number of their keys."""
+    def work(keys: DataFrame, until: dt.date, token: str) -> None:
+        _derive(keys, layers, F.lit(until), token, strict_reference)
 
+    previous = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        return PendingKeys(spark, layers).derive(as_of, work)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, previous)
 
-def _between(stored: DataFrame, derived: dt.date | None, as_of: Column) -> DataFrame:
-    if derived is None:
-        return stored.filter((F.col("timestamp").cast("date") <= as_of) & (F.col("part_month") <= as_of))
-    since = F.lit(derived)
-    return stored.filter(F.col("timestamp").cast("date").between(F.date_add(since, 1), as_of)
-                         & F.col("part_month").between(F.trunc(since, "month"), as_of))
+
+def _derive(keys: DataFrame, layers: Layers, as_of: Column, token: str, strict_reference: bool) -> None:
+    spark = keys.sparkSession
+    months = [x[0] for x in keys.select(F.trunc("date", "month")).distinct().collect()]
+    stored = in_months(spark.table(layers.name(schemas.HARMONIZED)), months)
+    changed, path = written(
+        stored.withColumn("date", F.col("timestamp").cast("date")).join(keys, ["date", "index_name"], "left_semi")
+        .select(*schemas.HARMONIZED.column_names), "changed")
+    refreshed = {schemas.DAILY_METRICS: daily_metrics(changed)}
+    if strict_reference:
+        refreshed |= _fixed_lookback_refresh(spark, layers, as_of)
+    else:
+        refreshed |= _affected_refresh(spark, layers, changed, as_of)
+    upsert_tables(refreshed, layers, token)
+    discard(spark, path)
 
 
 def _fixed_lookback_refresh(spark: SparkSession, layers: Layers,
