@@ -11,14 +11,14 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from pricebeam.plans import jobs
-from pricebeam.sources.tables import Layers, create_layers
+from pricebeam.sources.tables import Layers, create_layers, remove_old_versions
 from pricebeam.streaming.refresh import load_raw_data, update_daily_index_metrics
 
 
 def parser() -> argparse.ArgumentParser:
     made = argparse.ArgumentParser(prog="pricebeam")
     made.add_argument("job", choices=[
-        "create", "ingest", "load", "refresh", "harmonize", "analytics", "end-to-end"])
+        "create", "ingest", "load", "refresh", "harmonize", "analytics", "end-to-end", "clean"])
     made.add_argument("--prefix", default="", help="environment prefix of the databases")
     made.add_argument("--root", help="storage root of the databases")
     made.add_argument("--series", help="directory with one series_id=<id> directory per series")
@@ -26,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--checkpoint", help="directory for the checkpoints of load and refresh")
     made.add_argument("--start", type=dt.date.fromisoformat, default=dt.date(2020, 1, 1))
     made.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
+    made.add_argument("--keep-days", type=int, default=7, help="days that clean keeps versions out of use")
     made.add_argument("--strict-reference", action="store_true", help="fixed lookbacks on refresh")
     return made
 
@@ -48,6 +49,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> jobs.JobResult:
         return jobs.run_harmonization(spark, layers)
     if args.job == "analytics":
         return jobs.run_analytics(spark, layers)
+    if args.job == "clean":
+        gone = remove_old_versions(spark, layers, dt.datetime.now(dt.timezone.utc), dt.timedelta(days=args.keep_days))
+        return jobs.JobResult("cleaned", {"versions": len(gone)})
     return jobs.JobResult("created")
 
 

@@ -19,7 +19,7 @@ from pricebeam.plans.registered import (
     registered,
     weekly_performance_sql,
 )
-from pricebeam.plans.jobs import end_to_end, ingest
+from pricebeam.plans.jobs import end_to_end, ingest, load_frame, run_analytics, run_harmonization
 from pricebeam.session import on_filesystem, scratch_path
 from pricebeam.sources.adapters import (
     AS_OF,
@@ -372,6 +372,24 @@ def replaced_file_wins(spark, sf_dir):
     return read_table(spark, layers, schemas.DAILY_METRICS).select("date", "index_name", "index_value")
 
 
+@registered("read_during_overwrite", f"""WITH {P}
+SELECT 'before' AS read, date, index_name, index_value FROM p
+UNION ALL SELECT 'after', date, index_name, index_value - CASE WHEN year(date) = 2000 THEN 1000 ELSE 0 END FROM p""")
+def read_during_overwrite(spark, sf_dir):
+    """A reader of the daily metrics begins, a correction is loaded and all tables are rebuilt; the reader gets
+    the rows of the version that it began with, a later one those of the rebuild."""
+    raw, layers = raw_series(spark, sf_dir), _fresh_layers(spark)
+    reads = []
+    for read_at, rows in (("before", raw), ("after", raw.filter(F.year("date") == 2000).withColumn(
+            "index_value", F.col("index_value") - 1000))):
+        load_frame(rows, layers, read_at)
+        run_harmonization(spark, layers)
+        run_analytics(spark, layers)
+        reads.append(read_table(spark, layers, schemas.DAILY_METRICS).select(
+            F.lit(read_at).alias("read"), "date", "index_name", "index_value"))
+    return reads[0].unionByName(reads[1])
+
+
 @registered("json_staged", f"WITH {P} SELECT date, index_name, index_value FROM p0")
 def json_staged(spark, sf_dir):
     """JSON lines loaded into staging like CSV files."""

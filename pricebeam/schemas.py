@@ -52,6 +52,11 @@ class TableSpec:
     dated_by: str | None
     partition: str = "part_month"
 
+    @property
+    def versioned(self) -> bool:
+        """Tables of loads only grow; the others are rebuilt from them."""
+        return self.dated_by is not None
+
     @property
     def column_names(self) -> list[str]:
         return self.columns.fieldNames()

@@ -1,7 +1,14 @@
-"""The raw, harmonized and analytics tables: parquet, partitioned, written through Spark."""
+"""The raw, harmonized and analytics tables: parquet, partitioned, written through Spark.
+
+Tables that are rebuilt as a whole have versions: the name is a view, each rebuild writes a catalog table of
+its own, and one change of the view makes it current. A reader stays with the version that it resolved, and a
+rebuild that dies before the change leaves nothing but a table that no name leads to.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -18,6 +25,8 @@ from pricebeam.session import discard, path_exists, shared_dir
 
 LAYERS = ("raw", "harmonized", "analytics")
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+#: Table property of a version: when a cleanup first met it out of use.
+UNUSED_SINCE = "pricebeam.unused_since"
 
 
 @dataclass(frozen=True)
@@ -40,14 +49,76 @@ def create_layers(spark: SparkSession, layers: Layers) -> list[str]:
         place = f" LOCATION '{layers.root}/{layer}'" if layers.root else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layers.database(layer)}{place}")
     for spec in schemas.TABLES:
-        partition_type = "STRING" if spec.dated_by is None else "DATE"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.columns.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {layers.name(spec)} ({columns}, "
-                  f"{spec.partition} {partition_type}) USING parquet "
-                  f"PARTITIONED BY ({spec.partition})")
+        name = layers.name(spec)
+        if not spec.versioned:
+            _create(spark, name, spec, "IF NOT EXISTS ")
+        elif not spark.catalog.tableExists(name):
+            spark.sql(f"CREATE VIEW IF NOT EXISTS {name} AS {_selection(_new_version(spark, name, spec))}")
     return [layers.name(spec) for spec in schemas.TABLES]
 
 
+def _create(spark: SparkSession, table: str, spec: TableSpec, condition: str = "") -> None:
+    partition_type = "STRING" if spec.dated_by is None else "DATE"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.columns.fields)
+    spark.sql(f"CREATE TABLE {condition}{table} ({columns}, {spec.partition} {partition_type}) "
+              f"USING parquet PARTITIONED BY ({spec.partition})")
+
+
+def _new_version(spark: SparkSession, name: str, spec: TableSpec) -> str:
+    table = f"{name}__{uuid.uuid4().hex}"
+    _create(spark, table, spec)
+    return table
+
+
+def _selection(version: str) -> str:
+    return f"SELECT * FROM {version}"
+
+
+def stored_table(spark: SparkSession, layers: Layers, spec: TableSpec) -> str:
+    """The catalog table that holds the rows now: the current version, or the table itself if it has none."""
+    name = layers.name(spec)
+    if not spec.versioned:
+        return name
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'View Text'").first()
+    return text["data_type"].removeprefix(_selection("")) if text else name
+
+
+def _versions(spark: SparkSession, layers: Layers, spec: TableSpec) -> list[str]:
+    database = layers.database(spec.layer)
+    found = spark.sql(f"SHOW TABLES IN {database} LIKE '{spec.name}__*'").collect()
+    return [f"{database}.{x.tableName}" for x in found if re.fullmatch(spec.name + "__[0-9a-f]{32}", x.tableName)]
+
+
+def remove_old_versions(spark: SparkSession, layers: Layers, now: dt.datetime, age: dt.timedelta) -> list[str]:
+    """Drop the versions that have been out of use for `age`, and return their names.
+
+    A cleanup notes when it first meets a version out of use; a later one, `age` after that, drops it. So age
+    counts from a time at which the version was surely replaced (or left by a rebuild that died), whatever
+    failed in between. Choose an age longer than any read and any rebuild.
+    """
+    dropped = []
+    for spec in schemas.TABLES:
+        if not spec.versioned:
+            continue
+        current = stored_table(spark, layers, spec)
+        for version in _versions(spark, layers, spec):
+            properties = {x.key: x.value for x in spark.sql(f"SHOW TBLPROPERTIES {version}").collect()}
+            since = properties.get(UNUSED_SINCE)
+            if version == current:
+                if since is not None:
+                    _use(spark, version)
+            elif since is None:
+                spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES ('{UNUSED_SINCE}' = '{now.isoformat()}')")
+            elif dt.datetime.fromisoformat(since) + age <= now:
+                spark.sql(f"DROP TABLE IF EXISTS {version}")
+                dropped.append(version)
+    return dropped
+
+
+def _use(spark: SparkSession, version: str) -> None:
+    spark.sql(f"ALTER TABLE {version} UNSET TBLPROPERTIES IF EXISTS ('{UNUSED_SINCE}')")
+
+
 def read_table(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFrame:
     """The contract columns, without the partition column."""
     return spark.table(layers.name(spec)).select(*spec.column_names)
@@ -57,7 +128,7 @@ def refresh_listings(spark: SparkSession, layers: Layers) -> None:
     """Forget the file listings that this session keeps of the tables. Another session, or a stream's
     own, may have replaced files since; a read by the old listing would fail."""
     for spec in schemas.TABLES:
-        spark.catalog.refreshTable(layers.name(spec))
+        spark.catalog.refreshTable(stored_table(spark, layers, spec))
 
 
 def in_months(df: DataFrame, months: list, partition: str = "part_month") -> DataFrame:
@@ -101,9 +172,25 @@ def _replace(df: DataFrame, table: str, scope: str) -> None:
 
 
 def overwrite_table(df: DataFrame, layers: Layers, spec: TableSpec) -> None:
-    """Replace the whole content. `df` must not read the table it replaces. A run that dies half way
-    is repaired by repeating it, since every table overwritten here is rebuilt from another one."""
-    _replace(_for_table(df, spec), layers.name(spec), "static")
+    """Replace the whole content by a new version; `df` may read the table that it replaces. Readers of the
+    old version finish with its rows, until `remove_old_versions` drops it. A run that dies before the switch
+    changes nothing. Writers of one table run one after the other: an upsert that ends during the rebuild
+    went into the old version. A table made without versions is replaced in place; then `df` must not read it,
+    and a run that dies half way is repaired by repeating it.
+    """
+    spark, name = df.sparkSession, layers.name(spec)
+    if stored_table(spark, layers, spec) == name:
+        _replace(_for_table(df, spec), name, "static")
+        return
+    version = _new_version(spark, name, spec)
+    _for_table(df, spec).write.insertInto(version)
+    _use(spark, version)
+    _switch(spark, name, version)
+
+
+def _switch(spark: SparkSession, name: str, version: str) -> None:
+    """One change in the catalog."""
+    spark.sql(f"ALTER VIEW {name} AS {_selection(version)}")
 
 
 def overwrite_tables(frames: Mapping[TableSpec, DataFrame], layers: Layers) -> None:
@@ -146,7 +233,8 @@ def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
     """
     spark = source.sparkSession
     stage = f"{shared_dir(spark)}/pricebeam/upserts/{layers.name(spec)}/{token or uuid.uuid4().hex}"
-    target = spark.table(layers.name(spec))
+    table = stored_table(spark, layers, spec)
+    target = spark.table(table)
     merged_path = f"{stage}/merged"
     if not path_exists(spark, f"{merged_path}/_SUCCESS"):
         keyed = source.select(*spec.column_names, month_of(spec).alias(spec.partition))
@@ -160,7 +248,7 @@ def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
         merged.hint("rebalance", F.col(spec.partition)).write.mode("overwrite").parquet(merged_path)
     # Each merged file holds few months already, so replacing is a copy without a shuffle.
     merged = spark.read.schema(target.schema).parquet(merged_path)
-    _replace(merged.select(*target.columns), layers.name(spec), "dynamic")
+    _replace(merged.select(*target.columns), table, "dynamic")
     discard(spark, stage)
 
 
