@@ -14,16 +14,25 @@ from pyspark.sql import types as T
 from pricebeam.llm.blocks import PAYLOAD, TEXT, packed
 from pricebeam.session import materialize
 
+#: A tag's attributes: a quote opens a string only at the start of a value.
+ATTRIBUTES = r"(?:=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?+|[^>=]++)*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL | re.IGNORECASE)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])" + ATTRIBUTES + r"(?<=/)>"
+    r"|<(script|style|noscript|template|iframe|svg|textarea|select)(?=[\s/>])" + ATTRIBUTES + r">.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)(" + ATTRIBUTES + r")>|<[!?][^>]*>", re.DOTALL | re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*))?)?")
+NAMING = frozenset(("class", "id", "role", "hidden"))
+#: A slash that ends an unquoted value, not the tag.
+VALUE_SLASH = re.compile(r"=\s*[^\s\"'>][^\s>]*/\Z")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var br img wbr".split())
 #: Elements that never hold article text.
 DROPPED = frozenset("head title nav header footer aside form button dialog menu script style noscript template "
-                    "iframe svg textarea select object canvas audio video figcaption".split())
+                    "iframe svg textarea select object canvas audio video".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What becomes of an element's text: kept, judged by its links, dropped, or dropped but for headings.
+KEPT, DOUBTFUL, GONE, TITLED = range(4)
 #: Words of a class, id or role that name something beside the article.
 ASIDE = frozenset("ad ads adv advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie "
                   "cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter overlay "
@@ -32,6 +41,8 @@ ASIDE = frozenset("ad ads adv advert adverts advertisement banner breadcrumb bre
 #: Words that do so unless the article is named, too.
 BESIDE = frozenset("disclaimer form header notice notices notification promo promoted promotion related reply share "
                    "sharing skip social".split())
+#: Those of them that paragraphs and quotes of an article bear, too; there links decide.
+QUOTED = frozenset("related reply share sharing skip social".split())
 #: Words that say what an element has, not what it is.
 HAS = frozenset("has with no without".split())
 #: Words of those that name the article.
@@ -46,48 +57,79 @@ FENCES = frozenset("table td th article section div body html".split())
 SECTIONS = frozenset("article main section div td body".split())
 
 
-def _names(attributes: str) -> tuple[str, bool]:
-    """The generalised class (or id) of an element, and whether it names something beside the article."""
+def _names(attributes: str) -> tuple[str, int, bool]:
+    """The generalised class (or id) of an element, whether it names something beside the article (GONE, or
+    DOUBTFUL if only by words that parts of an article bear, too), and whether it names the article."""
     label, words, hidden = "", set(), False
     for m in ATTRIBUTE.finditer(attributes):
         kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if kind not in NAMING:
+            continue
         if kind == "hidden":
             hidden = True
             continue
         words.update(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
         if kind == "class" or kind == "id" and not label:
             label = ".".join(sorted(re.sub(r"\d+", "#", value).lower().split()))
-    return label, hidden or not words & HAS and bool(words & ASIDE or words & BESIDE and not words & MAIN)
+    main = bool(words & MAIN)
+    found = set() if words & HAS else words & ASIDE or (words & BESIDE if not main else set())
+    beside = GONE if hidden or found - QUOTED else DOUBTFUL if found else KEPT
+    return label, beside, main
+
+
+def _fate(tag: str, around: int, beside: int, named: bool, in_article: bool) -> int:
+    """What becomes of an element's text, from what becomes of the one around it. Captions, the headings of a
+    header, and paragraphs and quotes that a doubtful word names belong to an article if they stand in one."""
+    if around == GONE or tag in DROPPED and tag != "header":
+        return GONE
+    if tag in ("html", "body", "main") or tag == "article" and named:
+        beside = KEPT
+    if beside == DOUBTFUL and not (in_article and tag in ("p", "blockquote")):
+        beside = GONE
+    if tag == "header":
+        return TITLED if in_article else GONE
+    if beside == GONE or tag == "figcaption" and not in_article:
+        return GONE
+    if around == TITLED:
+        return KEPT if tag in HEADINGS else TITLED
+    return max(around, beside)
 
 
 def blocks_of(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
-    """Text blocks in page order: the generalised tag-class path of the enclosing element, whether an
-    element around it is dropped, the text, and how many of its characters are links.
+    """Text blocks in page order: the generalised tag-class path of the enclosing element, whether its
+    text is dropped, the text, and how many of its characters are links.
 
     The path counts elements of a kind alike (div.post-12 is div.post-#), so that it names the same
-    place on all pages of a host. Markup need not be well formed."""
+    place on all pages of a host. Markup need not be well formed. Attributes are read by the rules of HTML: an
+    apostrophe or slash inside an unquoted value is part of it, and only the name of an element says that it
+    has no end."""
     out: list[tuple[tuple[str, ...], bool, str, int]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path step, dropped
+    stack: list[tuple[str, str, bool]] = []  # tag, path step, and for inline elements whether they are left out
+    fates: list[int] = []  # of the elements in the stack that are not inline
     parts: list[str] = []
-    linked = links = mute = 0
+    linked = links = mute = articles = 0
 
     def close_block() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html_entities.unescape("".join(parts)).split())
             if text:
-                around = [(step, dropped) for tag, step, dropped in stack if tag not in INLINE]
-                out.append((tuple(step for step, _ in around), bool(around) and around[-1][1], text,
+                fate = fates[-1] if fates else KEPT
+                gone = fate in (GONE, TITLED) or fate == DOUBTFUL and 3 * linked >= len(text)
+                out.append((tuple(step for tag, step, _ in stack if tag not in INLINE), gone, text,
                             min(linked, len(text))))
             parts.clear()
         linked = 0
 
     def pop(count: int) -> None:
-        nonlocal links, mute
+        nonlocal links, mute, articles
         for _ in range(count):
-            tag, _, dropped = stack.pop()
+            tag, _, left_out = stack.pop()
             links -= tag == "a"
-            mute -= tag in INLINE and dropped
+            if tag in INLINE:
+                mute -= left_out
+            else:
+                articles -= fates.pop() != GONE and tag in ("article", "main")
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -112,11 +154,11 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
                         break
                     if t not in INLINE:
                         break
-            elif not m[4].endswith("/"):
+            elif not m[4].endswith("/") or VALUE_SLASH.search(m[4]):
                 # A dropped inline element is left out of its block; inside dropped blocks all is dropped.
-                dropped = bool(mute) or bool(m[4]) and _names(m[4])[1]
-                stack.append((tag, tag, dropped))
-                mute += dropped
+                left_out = bool(mute) or bool(m[4]) and _names(m[4])[1] != KEPT
+                stack.append((tag, tag, left_out))
+                mute += left_out
                 links += tag == "a"
             continue
         close_block()
@@ -128,7 +170,7 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
                 if t in FENCES and tag not in FENCES:
                     break
             continue
-        if tag in VOID or m[4].endswith("/"):
+        if tag in VOID:
             continue
         closing = CLOSES.get(tag, ()) + (("p",) if tag in CLOSES_P else ())
         for up, (t, _, _) in enumerate(reversed(stack), 1):
@@ -137,9 +179,11 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
                 break
             if t not in INLINE:
                 break
-        label, aside = _names(m[4]) if m[4] else ("", False)
-        dropped = any(x for _, _, x in stack) or tag in DROPPED or aside and tag not in ("html", "body", "article", "main")
-        stack.append((tag, f"{tag}.{label}" if label else tag, dropped))
+        label, beside, named = _names(m[4]) if m[4] else ("", KEPT, False)
+        fate = GONE if mute else _fate(tag, fates[-1] if fates else KEPT, beside, named, articles > 0)
+        stack.append((tag, f"{tag}.{label}" if label else tag, False))
+        fates.append(fate)
+        articles += fate != GONE and tag in ("article", "main")
     if at < len(page) and not mute:
         parts.append(page[at:])
     close_block()
