@@ -21,6 +21,7 @@ def parser() -> argparse.ArgumentParser:
         "create", "ingest", "load", "refresh", "harmonize", "analytics", "end-to-end", "clean"])
     made.add_argument("--prefix", default="", help="environment prefix of the databases")
     made.add_argument("--root", help="storage root of the databases")
+    made.add_argument("--log", nargs="*", default=[], metavar="TABLE", help="tables whose changes are logged")
     made.add_argument("--series", help="directory with one series_id=<id> directory per series")
     made.add_argument("--landing", help="directory of landed CSV files")
     made.add_argument("--checkpoint", help="directory for the checkpoints of load and refresh")
@@ -32,7 +33,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> jobs.JobResult:
-    layers = Layers(args.prefix, args.root)
+    layers = Layers(args.prefix, args.root, tuple(args.log))
     as_of = args.as_of or dt.date.today()
     if args.job == "ingest":
         return jobs.ingest(spark, args.series, args.landing, args.start, as_of)

@@ -56,5 +56,28 @@ def row_changes(before: DataFrame, after: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_copy")).drop("_copy")
 
 
+def keyed_changes(before: DataFrame, after: DataFrame, keys: Sequence[str], whole: bool) -> DataFrame:
+    """`op` (insert, update or delete) with the rows `before` and `after`, of all rows that differ. `after` is
+    a `whole` table, or only the rows that are merged into it, and then nothing is deleted. A key occurs once
+    on each side; one with a null equals nothing, so its rows are deleted and inserted."""
+    columns = after.columns
+    old = before.select(*keys, F.struct(*columns).alias("before"))
+    new = after.select(*keys, F.struct(*columns).alias("after"))
+    op = F.when(F.col("before").isNull(), "insert").when(F.col("after").isNull(), "delete").otherwise("update")
+    return (new.join(old, list(keys), "full_outer" if whole else "left_outer")
+            .filter(~F.col("before").eqNullSafe(F.col("after"))).select(op.alias("op"), "before", "after"))
+
+
+def replayed(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
+    """The table after changes with `before` and `after`, from its rows before them. Rows are counted, so the
+    order of the changes plays no part; each must be in `changes` once."""
+    columns = snapshot.columns
+    gained = changes.filter("after IS NOT NULL").select("after.*", F.lit(1).alias("_n"))
+    lost = changes.filter("before IS NOT NULL").select("before.*", F.lit(-1).alias("_n"))
+    counted = (snapshot.withColumn("_n", F.lit(1)).unionByName(gained).unionByName(lost)
+               .groupBy(*columns).agg(F.sum("_n").alias("_n")).filter("_n > 0"))
+    return counted.select(*columns, F.explode(F.sequence(F.lit(1), "_n")).alias("_copy")).drop("_copy")
+
+
 def _all(conditions: list[Column]) -> Column:
     return reduce(Column.__and__, conditions, F.lit(True))

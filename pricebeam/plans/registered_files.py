@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricebeam import schemas
+from pricebeam.operators.changes import replayed
 from pricebeam.plans.registered import (
     PRIORITY_NAMES,
     P,
@@ -41,7 +42,8 @@ from pricebeam.sources.files import (
     read_json,
     read_json_text,
 )
-from pricebeam.sources.tables import Layers, create_layers, read_table
+from pricebeam.sources.tables import Layers, create_layers, overwrite_table, read_table, upsert_table
+from pricebeam.streaming.change_feed import drain_changes
 from pricebeam.streaming.refresh import load_raw_data, update_daily_index_metrics
 from pricebeam.streaming.weekly import weekly_average_stream
 
@@ -390,6 +392,48 @@ def read_during_overwrite(spark, sf_dir):
     return reads[0].unionByName(reads[1])
 
 
+@registered("change_log_replayed", f"""WITH {P},
+old AS (SELECT date, index_name, index_value AS v FROM p WHERE date <= DATE '2001-07-31' AND year(date) <> 1999),
+mid AS (SELECT date, index_name, index_value - CASE WHEN year(date) = 2000 AND index_value < 150000 THEN 1000 ELSE 0 END AS v
+        FROM p WHERE date <= DATE '2001-07-31'),
+new AS (SELECT * FROM mid WHERE index_name <> '5-LOW'),
+log AS (
+  SELECT date, index_name, CAST(NULL AS DOUBLE) AS before, v AS after FROM old
+  UNION ALL SELECT m.date, m.index_name, o.v, m.v FROM mid m LEFT JOIN old o ON m.date = o.date AND m.index_name = o.index_name
+  WHERE o.v IS DISTINCT FROM m.v
+  UNION ALL SELECT date, index_name, v, NULL FROM mid WHERE index_name = '5-LOW')
+SELECT CASE WHEN before IS NULL THEN 'insert' WHEN after IS NULL THEN 'delete' ELSE 'update' END AS op, date, index_name,
+  before, after FROM log
+UNION ALL SELECT 'replayed', date, index_name, NULL, v FROM new""")
+def change_log_replayed(spark, sf_dir):
+    """Daily metrics come without 1999, then with that year and a correction of the lower prices of 2000, and are
+    replaced without one series. A stream drains their log after each; all rows of it, and the table that they
+    add up to."""
+    spec = schemas.DAILY_METRICS
+    rows = raw_series(spark, sf_dir).filter(F.col("date") <= AS_OF).select(*spec.column_names)
+    layers = Layers(f"run_{uuid.uuid4().hex[:12]}_", scratch_path(spark, "tables"), (spec.name,))
+    create_layers(spark, layers)
+    feed, drained, year = scratch_path(spark, "feed"), scratch_path(spark, "drained"), F.year("date")
+
+    def keep(changes, token):
+        changes.write.mode("overwrite").parquet(f"{drained}/token={token}")
+
+    lower = F.when((year == 2000) & (F.col("index_value") < 150_000), 1000).otherwise(0)
+    for part in (rows.filter(year != 1999),
+                 rows.filter(year.isin(1999, 2000)).withColumn("index_value", F.col("index_value") - lower)):
+        upsert_table(part, layers, spec)
+        drain_changes(spark, layers, spec, feed, keep)
+    overwrite_table(read_table(spark, layers, spec).filter("index_name <> '5-LOW'"), layers, spec)
+    drain_changes(spark, layers, spec, feed, keep)
+    changes = spark.read.parquet(drained)
+    row = F.coalesce("before", "after")
+    table = replayed(spark.createDataFrame([], spec.columns), changes)
+    return changes.select("op", row["date"].alias("date"), row["index_name"].alias("index_name"),
+                          F.col("before.index_value").alias("before"), F.col("after.index_value").alias("after")).unionByName(
+        table.select(F.lit("replayed").alias("op"), "date", "index_name", F.lit(None).cast("double").alias("before"),
+                     F.col("index_value").alias("after")))
+
+
 @registered("json_staged", f"WITH {P} SELECT date, index_name, index_value FROM p0")
 def json_staged(spark, sf_dir):
     """JSON lines loaded into staging like CSV files."""

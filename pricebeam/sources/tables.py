@@ -19,9 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pricebeam import schemas
 from pricebeam.functions.dates import month_start
+from pricebeam.operators.changes import keyed_changes
 from pricebeam.operators.upsert import DuplicateKeyError, upsert
 from pricebeam.schemas import TableSpec
 from pricebeam.session import discard, path_exists, shared_dir
+from pricebeam.sources.change_log import REBUILD, ChangeLog
 
 LAYERS = ("raw", "harmonized", "analytics")
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -31,10 +33,12 @@ UNUSED_SINCE = "pricebeam.unused_since"
 
 @dataclass(frozen=True)
 class Layers:
-    """Table names of one environment. `prefix` tells environments apart, e.g. `dev_`."""
+    """Table names of one environment. `prefix` tells environments apart, e.g. `dev_`. Every upsert and rebuild
+    of the tables in `logged` notes the rows that it changed, see `change_log`."""
 
     prefix: str = ""
     root: str | None = None
+    logged: tuple[str, ...] = ()
 
     def database(self, layer: str) -> str:
         return f"{self.prefix}{layer}"
@@ -119,6 +123,21 @@ def _use(spark: SparkSession, version: str) -> None:
     spark.sql(f"ALTER TABLE {version} UNSET TBLPROPERTIES IF EXISTS ('{UNUSED_SINCE}')")
 
 
+def change_log(spark: SparkSession, layers: Layers, spec: TableSpec) -> ChangeLog:
+    """What upserts and rebuilds changed in the table since it is logged."""
+    place = spark.catalog.getDatabase(layers.database(spec.layer)).locationUri
+    return ChangeLog(spark, f"{place}/{spec.name}__changes", spec.columns)
+
+
+def _log_for(spark: SparkSession, layers: Layers, spec: TableSpec, table: str) -> ChangeLog | None:
+    """The log to write to, rid of what a rebuild that died left in it."""
+    if spec.name not in layers.logged or not spec.versioned:
+        return None
+    log = change_log(spark, layers, spec)
+    log.settle(table.rsplit(".", 1)[-1])
+    return log
+
+
 def read_table(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFrame:
     """The contract columns, without the partition column."""
     return spark.table(layers.name(spec)).select(*spec.column_names)
@@ -179,13 +198,23 @@ def overwrite_table(df: DataFrame, layers: Layers, spec: TableSpec) -> None:
     and a run that dies half way is repaired by repeating it.
     """
     spark, name = df.sparkSession, layers.name(spec)
-    if stored_table(spark, layers, spec) == name:
+    current = stored_table(spark, layers, spec)
+    log = _log_for(spark, layers, spec, current)
+    if current == name:
+        if log is not None:
+            raise ValueError(f"{name} has no versions, so its rebuilds cannot be logged")
         _replace(_for_table(df, spec), name, "static")
         return
     version = _new_version(spark, name, spec)
     _for_table(df, spec).write.insertInto(version)
+    token = REBUILD + version.rsplit(".", 1)[-1]
+    if log is not None:
+        before, after = (spark.table(t).select(*spec.column_names) for t in (current, version))
+        log.record(keyed_changes(before, after, spec.key, whole=True), token)
     _use(spark, version)
     _switch(spark, name, version)
+    if log is not None:
+        log.publish(token)
 
 
 def _switch(spark: SparkSession, name: str, version: str) -> None:
@@ -232,9 +261,11 @@ def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
     in the source twice, as after an aggregation by key, which spares the shuffle that checks it.
     """
     spark = source.sparkSession
-    stage = f"{shared_dir(spark)}/pricebeam/upserts/{layers.name(spec)}/{token or uuid.uuid4().hex}"
+    token = token or uuid.uuid4().hex
+    stage = f"{shared_dir(spark)}/pricebeam/upserts/{layers.name(spec)}/{token}"
     table = stored_table(spark, layers, spec)
     target = spark.table(table)
+    log = _log_for(spark, layers, spec, table)
     merged_path = f"{stage}/merged"
     if not path_exists(spark, f"{merged_path}/_SUCCESS"):
         keyed = source.select(*spec.column_names, month_of(spec).alias(spec.partition))
@@ -244,11 +275,17 @@ def upsert_table(source: DataFrame, layers: Layers, spec: TableSpec,
         if not months:
             discard(spark, stage)
             return
+        if log is not None:
+            # The keys' months tell their partitions, so only the touched ones are compared.
+            before, after = in_months(target, months).select(*spec.column_names), staged.select(*spec.column_names)
+            log.record(keyed_changes(before, after, spec.key, whole=False), token)
         merged = upsert(in_months(target, months), staged, spec.key)
         merged.hint("rebalance", F.col(spec.partition)).write.mode("overwrite").parquet(merged_path)
     # Each merged file holds few months already, so replacing is a copy without a shuffle.
     merged = spark.read.schema(target.schema).parquet(merged_path)
     _replace(merged.select(*target.columns), table, "dynamic")
+    if log is not None:
+        log.publish(token)
     discard(spark, stage)
 
 
