@@ -20,16 +20,14 @@ def snapshot_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -
     old = before.select(*[F.col(c).alias(f"_old_{c}") for c in [*keys, *values]],
                         F.lit(True).alias("_in_old"))
     new = after.select(*keys, *values, F.lit(True).alias("_in_new"))
-    same_key = _all([F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in keys])
-    same_values = _all([F.col(v).eqNullSafe(F.col(f"_old_{v}")) for v in values])
     op = (
         F.when(F.col("_in_old").isNull(), "insert")
         .when(F.col("_in_new").isNull(), "delete")
-        .when(~same_values, "update")
+        .when(~same_key(values, "_old_"), "update")
     )
     deleted = F.col("_in_new").isNull()
     return (
-        old.join(new, same_key, "full_outer")
+        old.join(new, same_key(keys, "_old_"), "full_outer")
         .withColumn("op", op)
         .filter(F.col("op").isNotNull())
         .select(*[F.when(deleted, F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c)
@@ -79,5 +77,6 @@ def replayed(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     return counted.select(*columns, F.explode(F.sequence(F.lit(1), "_n")).alias("_copy")).drop("_copy")
 
 
-def _all(conditions: list[Column]) -> Column:
-    return reduce(Column.__and__, conditions, F.lit(True))
+def same_key(columns: Sequence[str], other: str) -> Column:
+    """Whether the columns equal those with the prefix `other`, where null equals null."""
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"{other}{c}")) for c in columns], F.lit(True))

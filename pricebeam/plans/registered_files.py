@@ -46,6 +46,7 @@ from pricebeam.sources.tables import Layers, create_layers, overwrite_table, rea
 from pricebeam.streaming.change_feed import drain_changes
 from pricebeam.streaming.refresh import load_raw_data, update_daily_index_metrics
 from pricebeam.streaming.weekly import weekly_average_stream
+from pricebeam.streaming.weekly_corrected import CorrectedWeeks
 
 CSV_HEADER = ",".join(schemas.LANDED_CSV_COLUMNS)
 
@@ -477,3 +478,24 @@ def stream_weekly_average(spark, sf_dir):
     )
     query.awaitTermination()
     return spark.read.schema(weekly.schema).parquet(out)
+
+
+@registered("stream_weekly_corrected", """
+WITH w AS (SELECT date_trunc('week', ts)::DATE AS week, event_type AS index_name, value, event_id % 3 = 0 AS held FROM events),
+m AS (SELECT max(ts) AS seen, max(ts) FILTER (event_id % 3 <> 0) AS before FROM events)
+SELECT week, index_name, round(avg(value), 6) AS avg_index_value,
+  count(*) FILTER (held AND week + 7 <= (SELECT before - INTERVAL 1 DAY FROM m)) AS late_rows
+FROM w WHERE week + 7 <= (SELECT seen - INTERVAL 1 DAY FROM m) GROUP BY ALL""")
+def stream_weekly_corrected(spark, sf_dir):
+    """Two thirds of the events come in the order of time, in two landings. The others come when most weeks are
+    closed, and correct them; then the first ones come again, and count for nothing."""
+    events, landing = read(spark, sf_dir, "events"), scratch_path(spark, "events")
+    weeks = CorrectedWeeks(spark, scratch_path(spark, "weeks"))
+    checkpoint, held = scratch_path(spark, "weekly"), F.col("event_id") % 3 == 0
+    middle = events.agg(F.expr("timestampadd(SECOND, timestampdiff(SECOND, min(ts), max(ts)) DIV 2, min(ts)) AS middle"))
+    early = F.col("ts") < F.lit(middle.first()["middle"]).cast(events.schema["ts"].dataType)
+    for label, rows in (("early", ~held & early), ("later", ~held & ~early), ("held", held), ("again", ~held & early)):
+        events.filter(rows).write.parquet(f"{landing}/{label}")
+        stream = spark.readStream.schema(events.schema).option("maxFileAge", FILE_AGE).parquet(f"{landing}/*")
+        weeks.drain(event_ticks(stream), checkpoint)
+    return weeks.closed().withColumn("avg_index_value", r6("avg_index_value"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Weeks counted from the epoch start on Thursday; four days later is a Monday.
 MONDAY_OFFSET = "4 days"
@@ -21,5 +21,9 @@ def weekly_average_stream(ticks: DataFrame, lateness: str = "1 day",
         unique = ticks.dropDuplicates(list(keys))
     weekly = unique.groupBy(F.window("ts", "1 week", startTime=MONDAY_OFFSET), "index_name").agg(
         F.avg("index_value").alias("avg_index_value"))
-    monday = F.to_utc_timestamp(F.col("window.start"), F.current_timezone()).cast("date")
-    return weekly.select(monday.alias("week"), "index_name", "avg_index_value")
+    return weekly.select(monday(F.col("window.start")).alias("week"), "index_name", "avg_index_value")
+
+
+def monday(start: Column) -> Column:
+    """The day on which a weekly window starts."""
+    return F.to_utc_timestamp(start, F.current_timezone()).cast("date")
