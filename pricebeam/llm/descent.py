@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricebeam.llm.textarrays import mixed
@@ -35,6 +35,8 @@ POOL, OPENED = 128, 24
 LONGEST = 32
 #: Best nodes whose exact scores decide.
 EXACT = 48
+#: The pool is doubled until the sampled queries find this share of their true nearest, or it holds all nodes.
+RECALL, SAMPLED = 0.95, 100
 #: Numbers in a matrix that a task multiplies at a time.
 CELLS = 1 << 21
 #: Offers that a task holds before it drops all but the best of each node.
@@ -94,10 +96,10 @@ class _Slot:
     def __init__(self, table: pa.Table, dims: int, most: int):
         self.slot = table.column("slot")[0].as_py()
         self.ids = _array(table, "ids", "i8")
-        self.vecs = _array(table, "vecs", "i1").reshape(-1, dims)
-        self.norms = _array(table, "norms", "f4")
+        self.vecs = _array(table, "vecs", "f4").reshape(-1, dims)
+        self.norms = _array(table, "norms", "f8")
         self.near = _array(table, "near", "i8").reshape(-1, most)
-        self.sims = _array(table, "sims", "f4").reshape(-1, most)
+        self.sims = _array(table, "sims", "f8").reshape(-1, most)
         self.fresh = _array(table, "fresh", "?").reshape(-1, most)
 
     def edges(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,7 +133,7 @@ def _point(dims: int, most: int, slots: int):
 
 
 class _Sent:
-    """Nodes with their vectors, their norms and the least score that their lists still take."""
+    """Nodes with their vectors, their scales and the least score that their lists still take."""
 
     @staticmethod
     def pack(ids: np.ndarray, vecs: np.ndarray, norms: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -141,8 +143,8 @@ class _Sent:
     @staticmethod
     def unpack(raw: bytes, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         n = int(np.frombuffer(raw, np.int64, 1)[0])
-        return (np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int8, n * dims, 8 + 16 * n).reshape(n, dims),
-                np.frombuffer(raw, np.float32, n, 8 + 8 * n), np.frombuffer(raw, np.float32, n, 8 + 12 * n))
+        return (np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.float32, n * dims, 8 + 24 * n).reshape(n, dims),
+                np.frombuffer(raw, np.float64, n, 8 + 8 * n), np.frombuffer(raw, np.float64, n, 8 + 16 * n))
 
 
 def _answer(dims: int, most: int):
@@ -205,13 +207,13 @@ def _join(dims: int, most: int, slots: int):
             real = np.arange(width) < size[nodes][:, None]
             index = np.where(real, index, 0)
             who, is_new = member[index], new[index] & real
-            offered = _offers(who, vecs[who].astype(np.float32), norms[who], is_new, real, least[who])
+            offered = _offers(who, vecs[who].astype(np.float64), norms[who], is_new, real, least[who])
             waiting.append(offered)
             if sum(x.shape[1] for x in waiting) > HELD:
                 found, waiting = _best_offers([found, *waiting], most), []
             i = j
         a, b, score = _best_offers([found, *waiting], most)
-        a, b, score = ids[a.astype(np.int64)], ids[b.astype(np.int64)], score.astype(np.float32)
+        a, b, score = ids[a.astype(np.int64)], ids[b.astype(np.int64)], score
         return _rows([(to, s.slot, a[x], b[x], score[x]) for to, x in _groups(slot_of(a, slots))])
     return work
 
@@ -246,7 +248,7 @@ def _merge(dims: int, most: int):
         for i in range(offers.num_rows):
             of.append(s.place(_array(offers, "a", "i8", i)))
             other.append(_array(offers, "b", "i8", i))
-            score.append(_array(offers, "c", "f4", i))
+            score.append(_array(offers, "c", "f8", i))
         new = np.repeat([0, 1], [len(place), sum(map(len, of)) - len(place)])
         of, other, score = np.concatenate(of), np.concatenate(other), np.concatenate(score)
         return _packed(s.slot, s.ids, s.vecs, s.norms, of, other, score, new > 0, most)
@@ -258,7 +260,7 @@ def _packed(slot: int, ids: np.ndarray, vecs: np.ndarray, norms: np.ndarray, of:
     kept = best_of(of, other, score, new, most)
     of, other, score, new = of[kept], other[kept], score[kept], new[kept]
     rank = _ranks(of)
-    near, sims = np.full((len(ids), most), -1, np.int64), np.full((len(ids), most), -np.inf, np.float32)
+    near, sims = np.full((len(ids), most), -1, np.int64), np.full((len(ids), most), -np.inf)
     fresh = np.zeros((len(ids), most), bool)
     near[of, rank], sims[of, rank], fresh[of, rank] = other, score, new
     return pa.table({"slot": [slot], "ids": [ids.tobytes()], "vecs": [vecs.tobytes()], "norms": [norms.tobytes()],
@@ -270,30 +272,30 @@ _STATE_ARROW = pa.schema([("slot", pa.int32()), *[(n, pa.binary()) for n in ("id
                           ("changed", pa.int64())])
 
 
-def _codes(vectors: list, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """Directions and lengths. Shorter vectors count as padded with zeros."""
+def _scaled(vectors: list, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors divided by a power of two, to at most 2, and its exponent. So 32 bits hold what a float held, and
+    only further digits of a double are rounded. Shorter vectors count as padded with zeros."""
     exact = np.zeros((len(vectors), dims))
     for i, x in enumerate(vectors):
         exact[i, : len(x)] = x
-    largest = np.abs(exact).max(axis=1, keepdims=True)
-    norm = np.sqrt(np.square(exact / largest).sum(axis=1, keepdims=True))
-    unit = exact / largest / norm
-    return unit, (largest * norm)[:, 0]
+    exponent = np.frexp(np.abs(exact).max(axis=1, initial=0))[1] - 1
+    return np.ldexp(exact, -exponent[:, None]), exponent
 
 
-def _signed(dims: int, slots: int, scale: float):
-    """(sig, mix, node, vec, norm): the signs of random projections, and the direction in one byte per number."""
+def _signed(dims: int, largest: int):
+    """(sig, mix, node, vec, norm): the signs of random projections, the scaled vector, and its scale in units of
+    2**`largest`."""
     planes = np.random.default_rng(7).standard_normal((dims, PLANES))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit, norms = _codes(batch.column("vector").to_pylist(), dims)
-            sig = ((unit @ planes > 0) << np.arange(PLANES)[::-1]).sum(axis=1)
+            scaled, exponent = _scaled(batch.column("vector").to_pylist(), dims)
+            sig = ((scaled @ planes > 0) << np.arange(PLANES)[::-1]).sum(axis=1)
             nodes = batch.column("node").to_numpy()
-            vecs = np.clip(np.rint(unit * scale), -127, 127).astype(np.int8)
             yield pa.RecordBatch.from_arrays([
                 pa.array(sig, pa.int64()), pa.array(mixed(nodes.astype(np.uint64)).view(np.int64)), pa.array(nodes),
-                pa.array([x.tobytes() for x in vecs], pa.binary()), pa.array(norms.astype(np.float32))],
+                pa.array([x.tobytes() for x in scaled.astype(np.float32)], pa.binary()),
+                pa.array(np.ldexp(1.0, exponent - largest))],
                 names=["sig", "mix", "node", "vec", "norm"])
     return work
 
@@ -307,7 +309,7 @@ def _first_lists(dims: int, slots: int):
             near, sims = [], []
             for at in range(0, len(nodes), RUN):
                 run = nodes[at : at + RUN]
-                vecs = np.frombuffer(b"".join(raw[at : at + RUN]), np.int8).reshape(-1, dims).astype(np.float32)
+                vecs = np.frombuffer(b"".join(raw[at : at + RUN]), np.float32).reshape(-1, dims).astype(np.float64)
                 score = vecs @ vecs.T * batch.column("norm").to_numpy()[at : at + RUN]
                 np.fill_diagonal(score, -np.inf)
                 most = min(FIRST, len(run) - 1)
@@ -324,10 +326,10 @@ def _first_lists(dims: int, slots: int):
 def _pack_slot(dims: int, most: int):
     def work(table: pa.Table) -> pa.Table:
         near = [np.frombuffer(x, np.int64) for x in table.column("near").to_pylist()]
-        sims = [np.frombuffer(x, np.float32) for x in table.column("sims").to_pylist()]
+        sims = [np.frombuffer(x, np.float64) for x in table.column("sims").to_pylist()]
         nodes, first, place = np.unique(table.column("node").to_numpy(), return_index=True, return_inverse=True)
         of = np.repeat(place, [len(x) for x in near])
-        vecs = np.frombuffer(b"".join(table.column("vec").take(pa.array(first)).to_pylist()), np.int8).reshape(-1, dims)
+        vecs = np.frombuffer(b"".join(table.column("vec").take(pa.array(first)).to_pylist()), np.float32).reshape(-1, dims)
         near, sims = np.concatenate(near), np.concatenate(sims)
         return _packed(table.column("slot")[0].as_py(), nodes, vecs, table.column("norm").to_numpy()[first],
                        of, near, sims, np.ones(len(of), bool), most)
@@ -355,19 +357,17 @@ class NeighbourGraph:
 
     def __init__(self, nodes: DataFrame, neighbours: int = NEIGHBOURS):
         self.spark, self.most = nodes.sparkSession, neighbours
-        norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-        size = nodes.agg(F.count("*"), F.max(F.size("vector")),
-                         F.max(F.array_max(F.transform("vector", F.abs)) / norm)).first()
+        size = nodes.agg(F.count("*"), F.max(F.size("vector")), F.max(F.array_max(F.transform("vector", F.abs)))).first()
         self.count, self.dims = size[0], size[1] or 1
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         #: Slots follow the nodes alone, never the session's partitions: each pair of slots may exchange a row.
         self.slots = max(1, self.count // SLOT_NODES)
-        #: A direction's largest number becomes 127.
-        self.scale = 127 / (min(1.0, size[2] or 1.0) or 1.0)
+        #: Scales are relative to the largest, so that scores do not overflow.
+        self.largest = int(np.frexp(size[2] or 1.0)[1]) - 1
         signed = (nodes.select("node", "vector")
-                  .mapInArrow(_signed(self.dims, self.slots, self.scale), "sig long, mix long, node long, vec binary, norm float"))
+                  .mapInArrow(_signed(self.dims, self.largest), "sig long, mix long, node long, vec binary, norm double"))
         signed = materialize(signed, "signed")
-        listed = "slot int, node long, vec binary, norm float, near binary, sims binary"
+        listed = "slot int, node long, vec binary, norm double, near binary, sims binary"
         alike, mixed_up = (signed.repartitionByRange(max(parts, self.slots), *by).sortWithinPartitions(*by)
                            .mapInArrow(_first_lists(self.dims, self.slots), listed) for by in (("sig", "mix"), ("mix",)))
         self.state = _Kept(alike.union(mixed_up).groupBy("slot").applyInArrow(_pack_slot(self.dims, self.most), STATE), "graph")
@@ -389,12 +389,27 @@ class NeighbourGraph:
         self.state = after
         return after.table.agg(F.sum("changed")).first()[0] or 0
 
-    def search(self, queries: DataFrame, pool: int = POOL, opened: int = OPENED) -> DataFrame:
+    def search(self, queries: DataFrame, count: int = 20, pool: int = POOL) -> DataFrame:
         """(query, node): the best nodes that a greedy walk from each query node finds, itself among them.
-        `queries` has a column node. A walk opens its best unopened nodes, meets their neighbours, keeps
-        the best `pool` by inner product, and ends when all of these are opened."""
+        `queries` has a column node. How wide a walk must be depends on the vectors, so a sample of the queries
+        is compared with all nodes, and as long as it misses too many of its `count` nearest, all walk again
+        with twice the pool."""
+        queries = materialize(queries.select("node").distinct(), "wanted")
+        truth = self._truth(queries, count)
+        pool = max(pool, 4 * count)
+        while True:
+            found = self._walk(queries, pool, max(EXACT, 2 * count))
+            self.pool, self.recall = pool, self._share(truth, found, count)
+            if self.recall >= RECALL or pool >= self.count:
+                return found.select("query", "node")
+            pool *= 2
+
+    def _walk(self, queries: DataFrame, pool: int, kept: int) -> DataFrame:
+        """(query, node, score): a walk opens its best unopened nodes, meets their neighbours, keeps the best
+        `pool` by inner product, and ends when all of these are opened; the best `kept` of each."""
+        opened = OPENED * min(4, -(-pool // POOL))
         longest = self._longest()
-        wanted = queries.select("node").distinct().mapInArrow(_slotted(self.slots), "node long, slot int")
+        wanted = queries.mapInArrow(_slotted(self.slots), "node long, slot int")
         pools = _Kept(self.state.table.drop("changed").groupBy("slot").cogroup(wanted.groupBy("slot"))
                       .applyInArrow(_begin(self.dims, self.most, pool, longest), POOLS), "pools")
         while (pools.table.agg(F.sum("left")).first()[0] or 0) > 0:
@@ -406,10 +421,28 @@ class NeighbourGraph:
                           .applyInArrow(_keep(self.dims, pool, opened), POOLS), "pools")
             pools.drop()
             pools = after
-        found = materialize(pools.table.mapInArrow(_unpack(pool), "query long, node long"), "found")
+        found = materialize(pools.table.mapInArrow(_unpack(pool, kept), "query long, node long, score double"), "found")
         pools.drop()
         return found
 
+    def _truth(self, queries: DataFrame, count: int) -> list[Row]:
+        """(query, node, score) of the `count` nearest of a sample of the queries among all nodes, by one pass."""
+        sample = [x.node for x in queries.orderBy(F.xxhash64("node"), "node").limit(SAMPLED).collect()]
+        wanted = self.state.table.drop("changed").mapInArrow(_vectors(self.dims, self.most, sample), "node long, vec binary")
+        asked = {x.node: bytes(x.vec) for x in wanted.collect()}
+        best = Window.partitionBy("query").orderBy(F.desc("score"), "node")
+        scored = self.state.table.drop("changed").mapInArrow(_compared(self.dims, self.most, asked, count), "query long, node long, score double")
+        return scored.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= count).collect()
+
+    def _share(self, truth: list[Row], found: DataFrame, count: int) -> float:
+        """The share of the true nearest that are found, or that are no nearer than the last one found."""
+        lists: dict[int, dict[int, float]] = {x.query: {} for x in truth}
+        for x in found.filter(F.col("query").isin(list(lists))).collect():
+            lists[x.query][x.node] = x.score
+        last = {q: sorted(x.values(), reverse=True)[count - 1] if len(x) >= count else -np.inf for q, x in lists.items()}
+        missed = sum(x.node not in lists[x.query] and x.score - last[x.query] > 1e-12 * abs(x.score) for x in truth)
+        return 1 - missed / max(1, len(truth))
+
     def _longest(self) -> list[tuple[int, bytes, float]]:
         """A few nodes of the largest norm, if norms differ: with unequal lengths the largest inner
         products are often not near in direction."""
@@ -417,17 +450,18 @@ class NeighbourGraph:
             for batch in batches:
                 for i in range(batch.num_rows):
                     s = _Slot(pa.Table.from_batches([batch.slice(i, 1)]), self_dims, self_most)
-                    top = np.argsort(-s.norms, kind="stable")[:LONGEST]
+                    lengths = np.sqrt(np.einsum("ij,ij->i", s.vecs, s.vecs, dtype=np.float64)) * s.norms
+                    top = np.argsort(-lengths, kind="stable")[:LONGEST]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(s.ids[top]), pa.array([x.tobytes() for x in s.vecs[top]], pa.binary()),
-                         pa.array(s.norms[top]), pa.array(np.full(len(top), s.norms.min()))],
-                        names=["node", "vec", "norm", "least"])
+                         pa.array(s.norms[top]), pa.array(lengths[top]), pa.array(np.full(len(top), lengths.min()))],
+                        names=["node", "vec", "norm", "length", "least"])
 
         self_dims, self_most = self.dims, self.most
-        rows = self.state.table.drop("changed").mapInArrow(work, "node long, vec binary, norm float, least float")
-        top = rows.orderBy(F.desc("norm"), "node").limit(LONGEST).collect()
+        rows = self.state.table.drop("changed").mapInArrow(work, "node long, vec binary, norm double, length double, least double")
+        top = rows.orderBy(F.desc("length"), "node").limit(LONGEST).collect()
         least = rows.agg(F.min("least")).first()[0]
-        if not top or top[0].norm <= 1.05 * least:
+        if not top or top[0].length <= 1.05 * least:
             return []
         return [(x.node, bytes(x.vec), x.norm) for x in top]
 
@@ -435,6 +469,34 @@ class NeighbourGraph:
         self.state.drop()
 
 
+def _vectors(dims: int, most: int, wanted: list[int]):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                s = _Slot(pa.Table.from_batches([batch.slice(i, 1)]), dims, most)
+                at = np.flatnonzero(np.isin(s.ids, wanted))
+                yield pa.RecordBatch.from_arrays([pa.array(s.ids[at]), pa.array([x.tobytes() for x in s.vecs[at]], pa.binary())],
+                                                 names=["node", "vec"])
+    return work
+
+
+def _compared(dims: int, most: int, asked: dict[int, bytes], count: int):
+    """(query, node, score): the `count` best of each slot for each of a few queries."""
+    queries = np.array(list(asked), np.int64)
+    vecs = np.frombuffer(b"".join(asked.values()), np.float32).reshape(-1, dims).astype(np.float64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                s = _Slot(pa.Table.from_batches([batch.slice(i, 1)]), dims, most)
+                score = vecs @ s.vecs.astype(np.float64).T * s.norms
+                top = np.argsort(-score, axis=1, kind="stable")[:, :count]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(queries, top.shape[1])), pa.array(s.ids[top].ravel()),
+                     pa.array(np.take_along_axis(score, top, axis=1).ravel())], names=["query", "node", "score"])
+    return work
+
+
 def _slotted(slots: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -448,7 +510,7 @@ def _pool_table(slot: int, ids: np.ndarray, vecs: np.ndarray, of: np.ndarray, ot
     kept = best_of(of, other, score, ~opened, pool)
     of, other, score, opened = of[kept], other[kept], score[kept], opened[kept]
     rank = _ranks(of)
-    near, sims = np.full((len(ids), pool), -1, np.int64), np.full((len(ids), pool), -np.inf, np.float32)
+    near, sims = np.full((len(ids), pool), -1, np.int64), np.full((len(ids), pool), -np.inf)
     open_ = np.zeros((len(ids), pool), bool)
     near[of, rank], sims[of, rank], open_[of, rank] = other, score, ~opened
     return pa.table({"slot": [slot], "ids": [ids.tobytes()], "vecs": [np.ascontiguousarray(vecs).tobytes()],
@@ -469,13 +531,13 @@ def _begin(dims: int, most: int, pool: int, longest: list[tuple[int, bytes, floa
         ids = np.unique(queries.column("node").to_numpy())
         at = s.place(ids)
         vecs = s.vecs[at]
-        exact = vecs.astype(np.float32)
+        exact = vecs.astype(np.float64)
         of, other = [np.arange(len(ids))], [ids]
         score = [np.square(exact).sum(axis=1) * s.norms[at]]
         for node, vec, norm in longest:
             of.append(np.arange(len(ids)))
             other.append(np.full(len(ids), node))
-            score.append(exact @ np.frombuffer(vec, np.int8).astype(np.float32) * np.float32(norm))
+            score.append(exact @ np.frombuffer(vec, np.float32).astype(np.float64) * norm)
         of, other, score = np.concatenate(of), np.concatenate(other), np.concatenate(score)
         return _pool_table(s.slot, ids, vecs, of, other, score, np.zeros(len(of), bool), pool)
     return work
@@ -485,9 +547,9 @@ class _Pool:
     def __init__(self, table: pa.Table, dims: int, pool: int):
         self.slot = table.column("slot")[0].as_py()
         self.ids = _array(table, "ids", "i8")
-        self.vecs = _array(table, "vecs", "i1").reshape(-1, dims)
+        self.vecs = _array(table, "vecs", "f4").reshape(-1, dims)
         self.near = _array(table, "near", "i8").reshape(-1, pool)
-        self.sims = _array(table, "sims", "f4").reshape(-1, pool)
+        self.sims = _array(table, "sims", "f8").reshape(-1, pool)
         self.open = _array(table, "open", "?").reshape(-1, pool)
 
     def opening(self, opened: int) -> np.ndarray:
@@ -548,10 +610,10 @@ def _score(dims: int, most: int, slots: int):
         s = _Slot(state, dims, most)
         query, node, ids, vecs, least, home = _asked(rows, dims)
         pairs = np.unique(np.stack([np.searchsorted(ids, query), s.place(node)], axis=1), axis=0)
-        score = np.empty(len(pairs), np.float32)
+        score = np.empty(len(pairs))
         for at in range(0, len(pairs), CELLS // dims):
             of, other = pairs[at : at + CELLS // dims].T
-            score[at : at + len(of)] = np.einsum("ij,ij->i", vecs[of].astype(np.float32), s.vecs[other].astype(np.float32))
+            score[at : at + len(of)] = np.einsum("ij,ij->i", vecs[of].astype(np.float64), s.vecs[other].astype(np.float64))
         of, other = pairs.T
         score *= s.norms[other]
         better = score > least[of]
@@ -572,21 +634,22 @@ def _keep(dims: int, pool: int, opened: int):
         for i in range(scored.num_rows):
             all_of.append(np.searchsorted(p.ids, _array(scored, "a", "i8", i)))
             other.append(_array(scored, "b", "i8", i))
-            score.append(_array(scored, "c", "f4", i))
+            score.append(_array(scored, "c", "f8", i))
             old.append(np.zeros(len(other[-1]), bool))
         return _pool_table(p.slot, p.ids, p.vecs, np.concatenate(all_of), np.concatenate(other), np.concatenate(score),
                            np.concatenate(old), pool)
     return work
 
 
-def _unpack(pool: int):
+def _unpack(pool: int, kept: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, near in zip(batch.column("ids").to_pylist(), batch.column("near").to_pylist()):
-                near = np.frombuffer(near, np.int64).reshape(-1, pool)[:, :EXACT]
+            for ids, near, sims in zip(*(batch.column(c).to_pylist() for c in ("ids", "near", "sims"))):
+                near = np.frombuffer(near, np.int64).reshape(-1, pool)[:, :kept]
                 of, column = np.nonzero(near >= 0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(ids, np.int64)[of]), pa.array(near[of, column])],
-                                                 names=["query", "node"])
+                score = np.frombuffer(sims, np.float64).reshape(-1, pool)[of, column]
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(ids, np.int64)[of]), pa.array(near[of, column]), pa.array(score)],
+                                                 names=["query", "node", "score"])
     return work
 
 
@@ -599,8 +662,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, count: int = 20, key: str =
     vectors and those that hold a null or a non-finite number take no part, as queries neither; a shorter
     vector counts as padded with zeros. Equal vectors are one node of the graph, of which only the first
     `count` + 1 keys can matter. Repeated keys are separate rows; one of them is the query's own. The
-    graph and the walk compare directions rounded to bytes; the order of what is found and the scores are
-    exact. Empty tables and single rows give no rows.
+    graph and the walk compare vectors of 32-bit numbers in doubles; the order of what is found and the scores
+    are exact. Empty tables and single rows give no rows.
     """
     spark: SparkSession = vectors.sparkSession
     rows, asking = _usable(vectors, key, vector), _usable(queries, key, vector)
@@ -612,7 +675,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, count: int = 20, key: str =
     if asking.isEmpty():
         return spark.createDataFrame([], f"query_id {dict(vectors.dtypes)[key]}, rank int, vec_id {dict(vectors.dtypes)[key]}, score double")
     graph = NeighbourGraph(nodes.select("node", "vector"))
-    found = graph.search(asking.select("node"))
+    found = graph.search(asking.select("node"), count + 1)
     graph.drop()
     mine = nodes.select(F.col("node").alias("query"), F.col("vector").alias("mine"))
     product = F.aggregate(F.zip_with("mine", "vector", lambda x, y: F.coalesce(x * y, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricebeam.llm.descent import best_of, nearest
+from pricebeam.llm.descent import RECALL, NeighbourGraph, best_of, nearest
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -56,6 +56,28 @@ def test_recall_and_exact_scores(spark, stretch):
             assert score == pytest.approx(float(x[q].astype(float) @ x[i].astype(float)), rel=1e-12)
 
 
+def test_groups_tighter_than_a_byte_are_told_apart(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((10, 32))[rng.integers(0, 10, 3000)] + 0.002 * rng.standard_normal((3000, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    got = listed(nearest(vectors, vectors.filter("vec_id % 100 = 0"), 20))
+    assert recall(got, brute(rows, set(range(0, 3000, 100)), 20), 20) >= 0.95
+
+
+def test_the_pool_widens_until_a_sample_is_found(spark):
+    """Vectors without groups in many dimensions, where a narrow walk misses most."""
+    x = np.random.default_rng(10).standard_normal((2500, 96))
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vector array<double>")
+    graph = NeighbourGraph(nodes, neighbours=8)
+    found = graph.search(nodes.filter("node % 25 = 0"), 6, pool=24).collect()
+    graph.drop()
+    assert graph.pool > 24 and graph.recall >= RECALL
+    top = np.argsort(-(x[::25] @ x.T), axis=1)[:, :6]
+    hits = {(r.query, r.node) for r in found}
+    assert sum((25 * i, int(n)) in hits for i, near in enumerate(top) for n in near) >= RECALL * 600
+
+
 def test_small_tables_are_exact(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.standard_normal(8).astype(np.float32).tolist()) for i in range(60)]
