@@ -33,17 +33,16 @@ def over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], look
     remaining columns (those that have an order), so that ties fall alike.
     """
     series, order = list(series), _whole_order(df, list(series), order)
-    hot = _long_series(df, series, max_rows)
-    hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    hot, hot_keys, hot_rows, rows = _long_series(df, series, max_rows)
     if not hot_keys:
-        return compute(df, Window.partitionBy(*series).orderBy(*order))
+        return compute(_spread(df, series, rows), Window.partitionBy(*series).orderBy(*order))
 
     keys, same = _hot_keys(hot, series)
-    cold_result = compute(df.join(keys, same, "left_anti"),
+    cold_result = compute(_spread(df.join(keys, same, "left_anti"), series, rows - hot_rows),
                           Window.partitionBy(*series).orderBy(*order))
     sliced = _slice(df.join(keys, same, "left_semi"), series, order,
                     ceil(SLICES_PER_LIMIT * hot_rows / max_rows))
-    return cold_result.unionByName(_over_slices(sliced, series, order, lookback, compute))
+    return cold_result.unionByName(_over_slices(sliced, series, order, lookback, compute, hot_rows))
 
 
 def filled_over_series(df: DataFrame, series: Sequence[str], order: Sequence[str], value: str, out: str,
@@ -61,12 +60,11 @@ def filled_over_series(df: DataFrame, series: Sequence[str], order: Sequence[str
         window = Window.partitionBy(*series, *by).orderBy(*order)
         return F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
-    hot = _long_series(df, series, max_rows)
-    hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    hot, hot_keys, hot_rows, rows = _long_series(df, series, max_rows)
     if not hot_keys:
-        return df.withColumn(out, fill(df))
+        return _spread(df, series, rows).withColumn(out, fill(df))
     keys, same = _hot_keys(hot, series)
-    cold = df.join(keys, same, "left_anti")
+    cold = _spread(df.join(keys, same, "left_anti"), series, rows - hot_rows)
     sliced = _slice(df.join(keys, same, "left_semi"), series, order, ceil(SLICES_PER_LIMIT * hot_rows / max_rows))
     known = F.when(F.col(value).isNotNull(), F.struct(*order))
     lasts = sliced.groupBy(*series, "_slice").agg(F.max_by(value, known).alias("_last"))
@@ -74,7 +72,7 @@ def filled_over_series(df: DataFrame, series: Sequence[str], order: Sequence[str
     carried = lasts.select(*[F.col(c).alias(f"_of_{c}") for c in series], F.col("_slice").alias("_of_slice"),
                            F.last("_last", ignorenulls=True).over(before).alias("_carried"))
     of = _all([*(F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in series), F.col("_slice") == F.col("_of_slice")])
-    met = sliced.join(carried, of).withColumn(out, F.coalesce(fill(sliced, "_slice"), "_carried"))
+    met = _spread(sliced.join(carried, of), [*series, "_slice"], hot_rows).withColumn(out, F.coalesce(fill(sliced, "_slice"), "_carried"))
     return cold.withColumn(out, fill(cold)).unionByName(met.select(*df.columns, out))
 
 
@@ -106,8 +104,8 @@ def _hot_keys(hot: DataFrame, series: list[str]) -> tuple[DataFrame, Column]:
     return keys, _all(F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in series)
 
 
-def _long_series(df: DataFrame, series: list[str], max_rows: int) -> DataFrame:
-    """Keys of series over `max_rows` with their size.
+def _long_series(df: DataFrame, series: list[str], max_rows: int) -> tuple[DataFrame, int, float, float]:
+    """Keys of series over `max_rows` with their size; how many these are, their rows, and all rows.
 
     The sample only decides which way a series is computed, never which rows are: both ways give
     the same result, so a wrong estimate costs time. It keeps the shuffle of this pass at a
@@ -118,7 +116,18 @@ def _long_series(df: DataFrame, series: list[str], max_rows: int) -> DataFrame:
     if share < 1.0:
         sampled = sampled.sample(share, seed=1)
     sizes = sampled.groupBy(*series).agg((F.count(F.lit(1)) / share).alias("_rows"))
-    return sizes.filter(F.col("_rows") > max_rows)
+    long = F.col("_rows") > max_rows
+    keys, hot_rows, rows = sizes.agg(F.count_if(long), F.sum(F.when(long, F.col("_rows"))), F.sum("_rows")).first()
+    return sizes.filter(long), keys, hot_rows or 0, rows or 0
+
+
+def _spread(df: DataFrame, keys: list[str], rows: float) -> DataFrame:
+    """Rows of one key together, in so many tasks that none sorts much more than the limit. The session's number
+    of shuffle partitions does not follow the rows; where it is enough, nothing is changed."""
+    tasks = ceil(rows / MAX_ROWS_PER_TASK)
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *keys)
 
 
 def _all(conditions) -> Column:
@@ -133,16 +142,17 @@ def _slice(df: DataFrame, series: list[str], order: list[str], slices: int) -> D
 
 
 def _over_slices(sliced: DataFrame, series: list[str], order: list[str], lookback: int,
-                 compute: Callable[[DataFrame, WindowSpec], DataFrame]) -> DataFrame:
+                 compute: Callable[[DataFrame, WindowSpec], DataFrame], rows: float) -> DataFrame:
     body = sliced.withColumn("_halo", F.lit(False))
     if lookback:
-        body = body.unionByName(_halo_rows(sliced, series, order, lookback))
+        body = body.unionByName(_halo_rows(sliced, series, order, lookback, rows))
+    body = _spread(body, [*series, "_slice"], rows)
     window = Window.partitionBy(*series, "_slice").orderBy(*order)
     return compute(body, window).filter(~F.col("_halo")).drop("_halo", "_slice")
 
 
 def _halo_rows(sliced: DataFrame, series: list[str], order: list[str],
-               lookback: int) -> DataFrame:
+               lookback: int, rows: float) -> DataFrame:
     """The last rows of each slice, addressed to the later slices that look back at them.
 
     Only slice tails can be looked back at, and the row limit is applied before the shuffle. Which
@@ -162,7 +172,7 @@ def _halo_rows(sliced: DataFrame, series: list[str], order: list[str],
                     lambda total, y: total + y["_size"]).alias("between"))))
     from_end = Window.partitionBy(*series, "_slice").orderBy(*[F.desc(c) for c in order])
     tails = (
-        sliced.withColumn("_from_end", F.row_number().over(from_end) - 1)
+        _spread(sliced, [*series, "_slice"], rows).withColumn("_from_end", F.row_number().over(from_end) - 1)
         .filter(F.col("_from_end") < lookback)
     )
     same = _all([*(F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in series),

@@ -86,6 +86,21 @@ def test_a_hot_series_spreads_over_tasks(spark):
     assert seen["largest"] < 6_000
 
 
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """Many short series in few shuffle partitions: no task may hold much more than the limit."""
+    from pricebeam.operators import sliced
+
+    monkeypatch.setattr(sliced, "MAX_ROWS_PER_TASK", 500)
+    def compute(frame, window):
+        return frame.withColumns({"prior": F.lag("v").over(window), "task": F.spark_partition_id()})
+
+    for rows, series, most in ((20_000, 4000, 1_000), (8_000, 4, 2_000)):  # plain windows; all series in slices
+        df = spark.range(rows).selectExpr(f"id % {series} AS s", "id AS i", "cast(id AS double) AS v")
+        result = over_series(df, ["s"], ["i"], 1, compute, 500).localCheckpoint()
+        assert result.groupBy("task").count().agg(F.max("count")).first()[0] <= most
+        assert result.filter(F.col("prior") == F.col("v") - series).count() == rows - series
+
+
 # --- rollups ---
 
 WEEK = [(D(2024, 6, 10), 100.0), (D(2024, 6, 11), 102.0), (D(2024, 6, 12), 98.0),
