@@ -31,6 +31,8 @@ from pricebeam.session import scratch_path
 BLOCK_BYTES = 2 << 20
 #: Columns of a block table, beside the caller's columns, which travel in one struct.
 BLOCK, ROW, TEXT, PAYLOAD = "block", "row", "text", "payload"
+#: What an operator noted about a whole block, beside its first row.
+NOTE = "note"
 
 ASK_SCHEMA = "bucket int, block long, hashes binary, extra binary"
 REPLY_SCHEMA = "block long, kind int, bucket int, reply binary"
@@ -52,6 +54,30 @@ def _number_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             names=[BLOCK, ROW, TEXT, PAYLOAD])
 
 
+def _with_notes(note: Callable[[pa.Table], bytes]):
+    """Numbered rows, and `note` of each block beside its first row. One block is held at a time."""
+    def closed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        block = pa.Table.from_batches(parts).combine_chunks()
+        notes = pa.array([note(block)] + [None] * (block.num_rows - 1), pa.binary())
+        return block.append_column(NOTE, notes).combine_chunks().to_batches()[0]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in _number_blocks(batches):
+            blocks = batch.column(BLOCK).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for a, b in zip(cuts, cuts[1:]):
+                if b == a:
+                    continue
+                if held and held[0].column(BLOCK)[0].as_py() != blocks[a]:
+                    yield closed(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield closed(held)
+    return work
+
+
 def sliced(batches: Iterator[pa.RecordBatch], text: int = 0, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` bytes of text, so that what a task makes of one batch stays
     small. `text` is the number of the text column."""
@@ -92,17 +118,19 @@ def with_columns(result: DataFrame, docs: DataFrame, text: str, *new: str) -> Da
 
 
 class Blocks:
-    """A block table and the exchange over it."""
+    """A block table and the exchange over it. `note` makes bytes of a block's rows that later steps need again;
+    they stay beside the texts."""
 
-    def __init__(self, docs: DataFrame, text: str = "text"):
+    def __init__(self, docs: DataFrame, text: str = "text", note: Callable[[pa.Table], bytes] | None = None):
         self.spark = docs.sparkSession
         thin = packed(docs, text)
         schema = T.StructType([
-            T.StructField(BLOCK, T.LongType()), T.StructField(ROW, T.LongType()), *thin.schema.fields])
+            T.StructField(BLOCK, T.LongType()), T.StructField(ROW, T.LongType()), *thin.schema.fields,
+            *([T.StructField(NOTE, T.BinaryType())] if note else [])])
         path = scratch_path(self.spark, "blocks")
         self.partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         name = f"pricebeam_blocks_{uuid.uuid4().hex}"
-        (thin.mapInArrow(_number_blocks, schema).write.bucketBy(self.partitions, BLOCK)
+        (thin.mapInArrow(_with_notes(note) if note else _number_blocks, schema).write.bucketBy(self.partitions, BLOCK)
          .option("path", path).format("parquet").saveAsTable(name))
         self.table = self.spark.table(name)
         self.schema = self.table.schema

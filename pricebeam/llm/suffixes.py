@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from pricebeam.llm.blocks import (
-    ASK_SCHEMA, BLOCK, PAYLOAD, REPLY_SCHEMA, TEXT, Blocks, Distinct, asked, compare, edges,
+    ASK_SCHEMA, BLOCK, NOTE, PAYLOAD, REPLY_SCHEMA, TEXT, Blocks, Distinct, asked, compare, edges,
     occurs_elsewhere, replies_of, with_columns,
 )
 from pricebeam.llm.textarrays import RangeHash, column_bytes, marked, mixed, random_table
@@ -56,10 +57,19 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 class _Runs:
     """Windows of a block, in runs that share the gram with the smallest hash (the leftmost of equals).
-    Equal windows choose the same gram at the same place, so only runs of one gram need comparing."""
+    Equal windows choose the same gram at the same place, so only runs of one gram need comparing.
+    They are found once, when the block is written, and read from its note by all later steps."""
 
     def __init__(self, table: pa.Table, window: int):
         self.data, self.offsets = column_bytes(table.column(TEXT))
+        note = table.column(NOTE)[0].as_py() if NOTE in table.column_names and table.num_rows else None
+        if note is None:
+            self._find(window)
+        else:
+            self._read(note, window)
+        self.gram = self._grams(self.at)
+
+    def _find(self, window: int) -> None:
         n = len(self.data)
         lengths = np.diff(self.offsets)
         long = lengths >= window
@@ -67,29 +77,51 @@ class _Runs:
         at = np.flatnonzero(valid)
         if not len(at):
             self.first = self.last = self.at = np.zeros(0, np.int64)
-            self.gram = self.segment = np.zeros(0, np.uint64)
-            self.hash = RangeHash(np.zeros(0, np.uint64))
+            self.segment = np.zeros(0, np.uint64)
             return
-        words = padded_words(self.data, "<")
-        gram = words[: n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
-        gram ^= gram >> np.uint64(29)
-        gram += words[8 : n - GRAM + 9] * np.uint64(0xC2B2AE3D27D4EB4F)
-        gram = mixed(gram)
-        ranked = (gram & ~np.uint64(0xFFFFFFFF)) | np.arange(len(gram), dtype=np.uint64)
+        ranked = (self._hashed(slice(None)) & ~np.uint64(0xFFFFFFFF)) | np.arange(n - GRAM + 1, dtype=np.uint64)
         chosen = (sliding_minimum(ranked, window - GRAM + 1)[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         new = np.ones(len(at), bool)
         new[1:] = (chosen[1:] != chosen[:-1]) | (at[1:] != at[:-1] + 1)
         first = np.flatnonzero(new)
-        #: First and last window start of each run, the gram's hash, and the hash of all its bytes.
+        #: First and last window start of each run, its gram's place, and the hash of all its bytes.
         self.first = at[first]
         self.last = at[np.append(first[1:], len(at)) - 1]
         self.at = chosen[first]
-        # Chosen hashes are small numbers; scrambled again they spread evenly over the buckets.
-        self.gram = mixed(gram[self.at])
-        del words, gram, ranked, chosen, valid
-        self.hash = RangeHash(random_table(256, 3)[self.data])
+        del ranked, chosen, valid
         self.segment = self.hash.of(self.first, self.last + window)
 
+    def note(self, window: int) -> bytes:
+        """The runs as bytes; a gram's place and the last start lie within a window of the first start."""
+        near = "<u2" if window < 1 << 16 else "<u4"
+        return b"".join([self.segment.astype("<u8").tobytes(), self.first.astype("<u4").tobytes(),
+                         (self.at - self.first).astype(near).tobytes(), (self.last - self.first).astype(near).tobytes()])
+
+    def _read(self, note: bytes, window: int) -> None:
+        near, width = ("<u2", 16) if window < 1 << 16 else ("<u4", 20)
+        n = len(note) // width
+        self.segment = np.frombuffer(note, "<u8", n)
+        self.first = np.frombuffer(note, "<u4", n, 8 * n).astype(np.int64)
+        self.at = self.first + np.frombuffer(note, near, n, 12 * n)
+        self.last = self.first + np.frombuffer(note, near, n, (6 + width // 2) * n)
+
+    def _hashed(self, where) -> np.ndarray:
+        """Hashes of the grams at places `where`."""
+        words = padded_words(self.data, "<")
+        n = max(len(self.data) - GRAM + 1, 0)
+        gram = words[:n][where] * np.uint64(0x9E3779B97F4A7C15)
+        gram ^= gram >> np.uint64(29)
+        gram += words[8 : n + 8][where] * np.uint64(0xC2B2AE3D27D4EB4F)
+        return mixed(gram)
+
+    def _grams(self, at: np.ndarray) -> np.ndarray:
+        """Chosen hashes are small numbers; scrambled again they spread evenly over the buckets."""
+        return mixed(self._hashed(at)) if len(at) else np.zeros(0, np.uint64)
+
+    @cached_property
+    def hash(self) -> RangeHash:
+        return RangeHash(random_table(256, 3)[self.data])
+
     def window_hashes(self, starts: np.ndarray, window: int) -> Distinct:
         """128 bits for each window: two hashes over independent random numbers of the bytes."""
         second = RangeHash(random_table(256, 7)[self.data])
@@ -451,7 +483,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 200, text: str = "text"
     """
     if window < 2 * GRAM:
         raise ValueError(f"window must be at least {2 * GRAM} bytes")
-    blocks = Blocks(docs, text)
+    blocks = Blocks(docs, text, lambda block: _Runs(block, window).note(window))
     judged = materialize(compare(blocks.each(_ask(window, blocks.buckets), ASK_SCHEMA), _judge(hot_segments), 2, "u1"), "judged")
     asks = blocks.with_replies(judged, _ask_pieces(window, blocks.buckets), ASK_SCHEMA)
     judged = judged.union(materialize(compare(asks, _judge(hot_segments), 2, "u1", kind=2), "judged"))
