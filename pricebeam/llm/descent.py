@@ -52,7 +52,7 @@ def slot_of(nodes: np.ndarray, slots: int) -> np.ndarray:
 
 
 def _array(table: pa.Table, name: str, kind: str, row: int = 0) -> np.ndarray:
-    return np.frombuffer(table.column(name)[row].as_py(), kind)
+    return np.frombuffer(table.column(name)[row].as_buffer(), kind)
 
 
 def _rows(rows: list[tuple]) -> pa.Table:
@@ -141,7 +141,7 @@ class _Sent:
                                for x in (np.array([len(ids)], np.int64), ids, norms, least, vecs)])
 
     @staticmethod
-    def unpack(raw: bytes, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def unpack(raw: pa.Buffer, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         n = int(np.frombuffer(raw, np.int64, 1)[0])
         return (np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.float32, n * dims, 8 + 24 * n).reshape(n, dims),
                 np.frombuffer(raw, np.float64, n, 8 + 8 * n), np.frombuffer(raw, np.float64, n, 8 + 16 * n))
@@ -161,7 +161,7 @@ def _answer(dims: int, most: int):
                               for c, k in (("b", "i8"), ("c", "i8"), ("d", "?")))
         order = np.lexsort((mixed(other.astype(np.uint64) ^ mixed(node.astype(np.uint64))), ~fresh, node))
         kept = order[_ranks(node[order]) < REVERSE]
-        sent = [_Sent.unpack(x.as_py(), dims) for x in asks.column("e")]
+        sent = [_Sent.unpack(x.as_buffer(), dims) for x in asks.column("e")]
         ids, vecs, norms, least = (np.concatenate(x) for x in zip(*sent))
         used = np.isin(ids, other[kept])
         out.append((s.slot, 1, _Sent.pack(ids[used], vecs[used], norms[used], least[used]), node[kept], other[kept], fresh[kept]))
@@ -175,10 +175,13 @@ def _join(dims: int, most: int, slots: int):
         if not state.num_rows or not answers.num_rows:
             return _rows([])
         s = _Slot(state, dims, most)
-        sent = [_Sent.unpack(x.as_py(), dims) for x in answers.column("a")]
-        ids, vecs, norms, least = (np.concatenate(x) for x in zip(*sent, (s.ids, s.vecs, s.norms, s.sims[:, -1])))
-        ids, at = np.unique(ids, return_index=True)
-        vecs, norms, least = vecs[at], norms[at], least[at]
+        sent = [_Sent.unpack(x.as_buffer(), dims) for x in answers.column("a")]
+        sent.append((s.ids, s.vecs, s.norms, s.sims[:, -1]))
+        ids = np.unique(np.concatenate([x[0] for x in sent]))
+        vecs, norms, least = np.empty((len(ids), dims), np.float32), np.empty(len(ids)), np.empty(len(ids))
+        for some, *values in sent:  # vectors are copied once
+            at = np.searchsorted(ids, some)
+            vecs[at], norms[at], least[at] = values
         place, other, fresh = s.edges()
         at, member, new = [place, np.arange(len(s.ids))], [other, s.ids], [fresh, np.zeros(len(s.ids), bool)]
         for i in range(answers.num_rows):
@@ -576,7 +579,7 @@ def _open(dims: int, pool: int, opened: int, slots: int):
 def _asked(rows: pa.Table, dims: int) -> tuple[np.ndarray, ...]:
     """(query, node) pairs of all rows; the queries with vectors, scores to beat and slots."""
     query, node = (np.concatenate([_array(rows, c, "i8", i) for i in range(rows.num_rows)]) for c in "ab")
-    sent = [_Sent.unpack(x.as_py(), dims) for x in rows.column("c")]
+    sent = [_Sent.unpack(x.as_buffer(), dims) for x in rows.column("c")]
     home = np.repeat(rows.column("kind").to_numpy(), [len(x[0]) for x in sent])
     ids, vecs, _, least = (np.concatenate(x) for x in zip(*sent))
     ids, at = np.unique(ids, return_index=True)
