@@ -3,9 +3,12 @@
 import math
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
+from pricebeam.llm import descent
 from pricebeam.llm.descent import RECALL, NeighbourGraph, best_of, nearest
 
 SCHEMA = "vec_id long, embedding array<float>"
@@ -120,3 +123,53 @@ def test_best_of_keeps_the_first_of_equals():
     of, other = np.array([1, 0, 0, 0, 1]), np.array([5, 7, 7, 8, 6])
     kept = best_of(of, other, np.array([1.0, 2.0, 2.0, 3.0, 1.0]), np.array([0, 1, 0, 0, 0]), 2)
     assert kept.tolist() == [3, 2, 0, 4]
+
+
+def test_first_lists_of_leaves_settle_in_few_rounds(spark, monkeypatch):
+    """Vectors without groups. Small slots and leaves, so that most neighbours are in other ones; slots are joined for the walk."""
+    monkeypatch.setattr(descent, "SLOT_NODES", 128)
+    monkeypatch.setattr(descent, "WIDE_FROM", 4, raising=False)
+    monkeypatch.setattr(descent, "WIDE_NODES", 512, raising=False)
+    monkeypatch.setattr(descent, "ALONE", 100, raising=False)
+    x = np.random.default_rng(11).standard_normal((4000, 48)).astype(np.float32)
+    nodes = spark.createDataFrame([(7 * i, v.tolist()) for i, v in enumerate(x)], "node long, vector array<double>")
+    graph = NeighbourGraph(nodes)
+    found = graph.search(nodes.filter("node % 140 = 0"), 10).collect()
+    graph.drop()
+    assert graph.slots > 4 * graph.wide > 4
+    top = np.argsort(-(x[::20].astype(float) @ x.T.astype(float)), axis=1)[:, :10]
+    hits = {(r.query // 7, r.node // 7) for r in found}
+    assert sum((20 * i, int(n)) in hits for i, near in enumerate(top) for n in near) >= RECALL * 2000
+    assert graph.rounds <= 4
+
+
+def test_a_walk_sends_each_slot_one_row_with_each_vector_once():
+    """What a home's queries meet: each pair once, none that a pool holds, the vector once a slot."""
+    rng, slots, most, dims, pool = np.random.default_rng(12), 16, 6, 8, 10
+    x = rng.standard_normal((500, dims)).astype(np.float32)
+    near = np.array([rng.choice(500, most, replace=False) for _ in range(500)])
+    queries = np.arange(0, 500, 20)
+    of, other = np.repeat(np.arange(25), 4), np.concatenate([rng.choice(500, 4, replace=False) for _ in queries])
+    home = descent._pool_table(3, queries, x[queries], of, other, np.einsum("ij,ij->i", x[queries[of]], x[other]), np.zeros(100, bool), pool)
+    asked = pa.Table.from_batches(list(descent._open(dims, pool, 2, slots)(home.to_batches())))
+    assert asked.num_rows <= slots
+    opened = [row.tolist() for row in descent._Pool(home, dims, pool).near[:, :2]]
+    assert set(descent._flat(asked, "node", "i8")[0].tolist()) == {n for row in opened for n in row}
+
+    def state(slot):
+        ids = np.flatnonzero(descent.slot_of(np.arange(500), slots) == slot)
+        return pa.table({"slot": [slot], "ids": [ids.tobytes()], "vecs": [x[ids].tobytes()], "norms": [np.ones(len(ids)).tobytes()], "near": [near[ids].tobytes()]})
+
+    def of_slot(table, slot):
+        return table.filter(pa.compute.equal(table.column("to"), slot))
+
+    listed = pa.concat_tables([descent._listed(dims, most)(state(i), of_slot(asked, i)) for i in range(slots)])
+    met = descent._wanted(dims, most, pool, 2, slots)(home, listed)
+    assert sorted(met.column("to").to_pylist()) == sorted(set(met.column("to").to_pylist()))
+    scored = pa.concat_tables([descent._score(dims, most)(state(i), of_slot(met, i)) for i in range(slots)])
+    query, node, score = (descent._flat(scored, c, k)[0] for c, k in (("node", "i4"), ("other", "i8"), ("score", "f8")))
+    held = {(q, n) for q, n in zip(of.tolist(), other.tolist())}
+    expected = {(q, int(n)) for q, row in enumerate(opened) for n in near[row].ravel()} - held
+    assert len(query) == len(expected) and {*zip(query.tolist(), node.tolist())} == expected
+    assert np.allclose(score, np.einsum("ij,ij->i", x[queries[query]].astype(float), x[node].astype(float)))
+    assert len(descent._flat(met, "query", "i4")[0]) <= len({(q, s) for (q, n), s in zip(expected, descent.slot_of(np.array([n for _, n in expected]), slots).tolist())})
