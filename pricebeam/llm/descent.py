@@ -25,7 +25,7 @@ OFFERS = 6
 #: The first lists: about the best so many of a leaf of each of a few trees, which cut the nodes by direction at medians
 #: of a sample of so many a leaf, and of a run in random order, without which no path would lead from one leaf to another.
 #: A leaf has between LEAST_LEAF and LEAF nodes, a sixteenth of all.
-FIRST, TREES, LEAST_LEAF, LEAF, LEAF_SAMPLED, LEAVES, RUN = 16, 8, 512, 4096, 64, 4096, 128
+FIRST, TREES, LEAST_LEAF, LEAF, LEAF_SAMPLED, LEAVES, RUN = 16, 8, 128, 4096, 64, 4096, 128
 #: Nodes of a slot, and numbers in the vectors of one.
 SLOT_NODES, SLOT_NUMBERS = 2048, 1 << 17
 #: A walk meets wider slots, so that a query's vector is sent to fewer: nodes and numbers of one, slots below which they
